@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cardrisk.operators import scoring
 from cardrisk.operators.features import join_profiles_stream, user_relative_features
 from cardrisk.plans import tables, views
-from cardrisk.plans.registry import query
+from cardrisk.plans.registry import query, rounded
 from cardrisk.schemas import event_schema, silver_columns, stream_csv_schema
 from cardrisk.session import scratch
 from cardrisk.sources import files, streams
@@ -199,9 +199,9 @@ def stream_csv_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     "stream_static_join",
     ("event_rows", "users", "mccs"),
     """
-    SELECT event_id, e.user, e.mcc, round(coalesce(user_amount_mean, 0), 6) AS user_amount_mean,
+    SELECT event_id, e.user, e.mcc, round(coalesce(user_amount_mean, 0) + 1e-9, 6) AS user_amount_mean,
       coalesce(user_txn_count, 0) AS user_txn_count, coalesce(mcc_frequency, 0) AS mcc_frequency,
-      round(coalesce(e.amount_abs / (user_amount_mean + 1), 0), 6) AS amount_vs_user_mean
+      round(coalesce(e.amount_abs / (user_amount_mean + 1), 0) + 1e-9, 6) AS amount_vs_user_mean
     FROM event_rows e LEFT JOIN users u ON e.user = u.user LEFT JOIN mccs m ON e.mcc = m.mcc
     """,
 )
@@ -211,8 +211,8 @@ def stream_static_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = user_relative_features(join_profiles_stream(stream, users, mccs))
     rows = _drain_rows(joined, spark, "static-join")
     return rows.select(
-        "event_id", "user", "mcc", F.round("user_amount_mean", 6).alias("user_amount_mean"), "user_txn_count",
-        "mcc_frequency", F.round("amount_vs_user_mean", 6).alias("amount_vs_user_mean"),
+        "event_id", "user", "mcc", rounded("user_amount_mean"), "user_txn_count", "mcc_frequency",
+        rounded("amount_vs_user_mean"),
     )
 
 

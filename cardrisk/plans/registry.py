@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cardrisk.plans import views
 
+# Added before rounding to 6 decimals, here and in the SQL texts: an exact half could fall either
+# way in two engines.
+NUDGE = 1e-9
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -135,6 +140,11 @@ _NEEDS = {
 }
 
 
+def rounded(name: str) -> Column:
+    """A computed double as it is compared with SQL."""
+    return F.round(F.col(name) + NUDGE, 6).alias(name)
+
+
 def with_views(sql: str, *names: str) -> str:
     """The query behind the definitions of the views it reads, and those they read."""
     order: list[str] = []

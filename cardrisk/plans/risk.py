@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardrisk.functions import risk
@@ -19,6 +19,11 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("label", F.col("is_fraud"))
 
 
+def wide_score(middle: float = 1.0) -> Column:
+    """A score over the whole range, so that every band has rows."""
+    return F.col("amount_abs") / (F.col("amount_abs") + middle)
+
+
 def base_rate(spark: SparkSession, sf_dir: str) -> float:
     def build() -> float:
         return tables.silver(spark, sf_dir).agg(F.avg("is_fraud")).first()[0]
@@ -168,7 +173,8 @@ calibrated AS (
   FROM (
     SELECT s.*, base, greatest(least(p, 1e0 - 1e-9), 1e-9) / (1 - greatest(least(p, 1e0 - 1e-9), 1e-9))
       * (base / (1 - base)) AS odds
-    FROM scored s, (SELECT avg(is_fraud) AS base FROM scored) b
+    FROM (SELECT * REPLACE (amount_abs / (amount_abs + 1e0) AS p) FROM scored) s,
+      (SELECT avg(is_fraud) AS base FROM scored) b
   ) s
 )
 """
@@ -188,7 +194,7 @@ BAND = """CASE WHEN lifted >= 100 THEN 'critical' WHEN lifted >= 30 THEN 'high'
     """,
 )
 def calibrated_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = scored(spark, sf_dir).select("user", "amount", "p")
+    rows = tables.silver(spark, sf_dir).select("user", "amount", wide_score().alias("p"))
     return scoring.assess(rows, base_rate(spark, sf_dir))
 
 
@@ -204,7 +210,7 @@ def calibrated_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def risk_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = base_rate(spark, sf_dir)
-    rows = scored(spark, sf_dir).select(risk.calibrate(F.col("p"), base).alias("q"))
+    rows = tables.silver(spark, sf_dir).select(risk.calibrate(wide_score(), base).alias("q"))
     q = F.col("q")
     return (
         rows.groupBy(risk.risk_band(q, base).alias("risk_band"), risk.verdict(q, base, 5).alias("verdict"))
@@ -218,15 +224,16 @@ def risk_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "absolute_bands",
-    ("scored",),
+    ("silver",),
     """
     SELECT p, CASE WHEN p >= 0.9e0 THEN 'critical' WHEN p >= 0.7e0 THEN 'high' WHEN p >= 0.4e0 THEN 'elevated'
                    WHEN p >= 0.15e0 THEN 'low' ELSE 'minimal' END AS band
-    FROM scored
+    FROM (SELECT amount_abs, amount_abs / (amount_abs + 100e0) AS p FROM silver) s
     """,
 )
 def absolute_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scored(spark, sf_dir).select("p", risk.absolute_risk_band(F.col("p")).alias("band"))
+    rows = tables.silver(spark, sf_dir).select(wide_score(100.0).alias("p"))
+    return rows.select("p", risk.absolute_risk_band(F.col("p")).alias("band"))
 
 
 @query(

@@ -10,7 +10,7 @@ from cardrisk.functions.risk import amount_bucket, amount_bucket_order
 from cardrisk.operators import features, layout, quality, rollups, sampling
 from cardrisk.operators.sizing import exact_quantile
 from cardrisk.plans import cleaning, tables, views
-from cardrisk.plans.registry import query
+from cardrisk.plans.registry import query, rounded
 from cardrisk.session import materialise, scratch
 from cardrisk.sources import files, sinks
 
@@ -283,7 +283,7 @@ _FLAG_SUMS = ", ".join(f"CAST(sum({c}) AS BIGINT) AS {name}" for name, c in qual
     "quality_profile",
     ("silver",),
     f"""
-    SELECT {_FLAG_SUMS}, round(avg(amount_abs), 6) AS mean_amount, max(amount_abs) AS max_amount,
+    SELECT {_FLAG_SUMS}, round(avg(amount_abs) + 1e-9, 6) AS mean_amount, max(amount_abs) AS max_amount,
       count(DISTINCT s.user) AS users, count(DISTINCT merchant_state) AS states,
       count(DISTINCT mcc) AS mccs, min(s.year) AS first_year, max(s.year) AS last_year
     FROM silver s
@@ -291,7 +291,7 @@ _FLAG_SUMS = ", ".join(f"CAST(sum({c}) AS BIGINT) AS {name}" for name, c in qual
 )
 def quality_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     profile = quality.quality_profile(tables.silver(spark, sf_dir))
-    return profile.withColumn("mean_amount", F.round("mean_amount", 6))
+    return profile.withColumn("mean_amount", rounded("mean_amount"))
 
 
 @query(
@@ -468,13 +468,13 @@ def layout_timings(spark: SparkSession, sf_dir: str) -> DataFrame:
     "user_stats",
     ("users",),
     """
-    SELECT u.user, round(user_amount_mean, 6) AS user_amount_mean,
-      round(user_amount_std, 6) AS user_amount_std, user_txn_count FROM users u
+    SELECT u.user, round(user_amount_mean + 1e-9, 6) AS user_amount_mean,
+      round(user_amount_std + 1e-9, 6) AS user_amount_std, user_txn_count FROM users u
     """,
 )
 def user_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.user_stats(tables.silver(spark, sf_dir)).withColumns(
-        {c: F.round(c, 6) for c in ("user_amount_mean", "user_amount_std")}
+        {c: rounded(c) for c in ("user_amount_mean", "user_amount_std")}
     )
 
 
@@ -487,18 +487,18 @@ def mcc_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     "user_relative_features",
     ("silver", "users", "mccs"),
     """
-    SELECT s.user, s.mcc, amount_abs, round(user_amount_mean, 6) AS user_amount_mean,
-      round(user_amount_std, 6) AS user_amount_std, user_txn_count,
-      round(amount_abs / (user_amount_mean + 1), 6) AS amount_vs_user_mean,
-      round((amount_abs - user_amount_mean) / (user_amount_std + 1), 6) AS amount_zscore, mcc_frequency
+    SELECT s.user, s.mcc, amount_abs, round(user_amount_mean + 1e-9, 6) AS user_amount_mean,
+      round(user_amount_std + 1e-9, 6) AS user_amount_std, user_txn_count,
+      round(amount_abs / (user_amount_mean + 1) + 1e-9, 6) AS amount_vs_user_mean,
+      round((amount_abs - user_amount_mean) / (user_amount_std + 1) + 1e-9, 6) AS amount_zscore, mcc_frequency
     FROM silver s JOIN users u ON s.user = u.user JOIN mccs m ON s.mcc = m.mcc
     """,
 )
 def user_relative_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = tables.silver(spark, sf_dir).select("user", "mcc", "amount_abs")
     built = features.build_features(rows, *tables.profiles(spark, sf_dir))
-    rounded = ["user_amount_mean", "user_amount_std", "amount_vs_user_mean", "amount_zscore"]
-    return built.withColumns({c: F.round(c, 6) for c in rounded})
+    derived = ["user_amount_mean", "user_amount_std", "amount_vs_user_mean", "amount_zscore"]
+    return built.withColumns({c: rounded(c) for c in derived})
 
 
 @query(
@@ -662,7 +662,10 @@ def pool_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "csv_sample",
     ("raw_txn",),
-    _sql_first("raw_txn", "20000", _RAW, 42).replace(_sql_key(RAW_KEY), _sql_key(_RAW)),
+    f"""
+    SELECT * REPLACE (nullif(errors, '') AS errors)
+    FROM ({_sql_first("raw_txn", "20000", _RAW, 42).replace(_sql_key(RAW_KEY), _sql_key(_RAW))}) r
+    """,
 )
 def csv_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The readable sample as one CSV file, read back."""

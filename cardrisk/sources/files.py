@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cardrisk.schemas import (
     CORRUPT_COLUMN,
@@ -67,7 +68,7 @@ def normalise_columns(df: DataFrame, columns: Sequence[str] = RAW_COLUMNS[:-1])
 def read_verdicts(spark: SparkSession, path: str, event_form: bool = True) -> DataFrame:
     """Verdict JSON lines; lines that do not parse are skipped."""
     return (
-        spark.read.schema(verdict_schema(event_form).add("batch_id", "bigint"))
+        spark.read.schema(verdict_schema(event_form).add("batch_id", T.LongType()))
         .option("mode", "DROPMALFORMED")
         .option("recursiveFileLookup", True)
         .option("ignoreCorruptFiles", True)
