@@ -33,7 +33,7 @@ def blank(c: Column) -> Column:
 
 
 def clean_amount(c: Column) -> Column:
-    digits = F.regexp_replace(F.trim(c), "[$,]", "")
+    digits = F.translate(F.trim(c), "$,", "")
     return F.coalesce(digits.try_cast("double"), F.lit(0.0))
 
 
@@ -61,7 +61,7 @@ def impute_category(c: Column, upper: bool = True) -> Column:
 
 
 def clean_zip(c: Column) -> Column:
-    whole = F.get(F.split(F.trim(c), r"\."), F.lit(0))
+    whole = F.substring_index(F.trim(c), ".", 1)
     return F.when(blank(c), F.lit(NO_ZIP)).otherwise(F.lpad(whole, 5, "0"))
 
 
@@ -127,15 +127,25 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
 
 
 def assemble_date(year: Column, month: Column, day: Column) -> Column:
-    """The real date, else the first of its month, else the first day of 2000."""
-    exact = F.try_to_date(F.format_string("%04d-%02d-%02d", year, month, day), "yyyy-MM-dd")
-    first = F.try_to_date(F.format_string("%04d-%02d-01", year, month), "yyyy-MM-dd")
-    return F.coalesce(exact, first, F.lit("2000-01-01").cast("date"))
+    """The real date, else the first of its month, else the first day of 2000.
+
+    Built from numbers: formatting and parsing text costs several times as much.
+    """
+
+    def midnight(d: Column) -> Column:
+        zero = F.lit(0)
+        return F.try_make_timestamp_ntz(year, month, d, zero, zero, zero).cast("date")
+
+    dated = F.coalesce(midnight(day), midnight(F.lit(1)))
+    four_digits = year.between(0, 9999)
+    return F.coalesce(F.when(four_digits, dated), F.lit("2000-01-01").cast("date"))
 
 
 def assemble_timestamp(date: Column, hour: Column, minute: Column) -> Column:
-    clock = F.format_string("%02d:%02d:00", hour, minute)
-    return F.try_to_timestamp(F.concat_ws(" ", F.date_format(date, "yyyy-MM-dd"), clock))
+    """Null for an hour or minute that no clock shows."""
+    return F.try_make_timestamp(
+        F.year(date), F.month(date), F.dayofmonth(date), hour, minute, F.lit(0)
+    )
 
 
 def calendar_parts(date: Column) -> dict[str, Column]:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cardrisk.functions import cleaning as C
 from cardrisk.operators.clean import clean_rows, to_silver, with_dates
 from cardrisk.operators.sizing import left_join_dim
+from cardrisk.session import materialise
 
 # ---- fixed values: approximate centroid (latitude, longitude) of each state --------------
 STATE_CENTROIDS = {
@@ -58,8 +59,10 @@ def dedupe_lookup(lookup: DataFrame) -> DataFrame:
 
 def join_zip(df: DataFrame, lookup: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Adds merchant_lat and merchant_lon; null where the ZIP is unknown."""
-    places = dedupe_lookup(lookup).select(
-        "zip", F.col("latitude").alias("merchant_lat"), F.col("longitude").alias("merchant_lon")
+    places = materialise(
+        dedupe_lookup(lookup).select(
+            "zip", F.col("latitude").alias("merchant_lat"), F.col("longitude").alias("merchant_lon")
+        )
     )
     limit = {} if max_rows is None else {"max_rows": max_rows}
     return left_join_dim(df, places, "zip", **limit)
@@ -70,10 +73,13 @@ def with_distance(df: DataFrame) -> DataFrame:
     return df.withColumn("device_merchant_distance_km", km)
 
 
-def amount_p99(cleaned: DataFrame, p: float = 0.99) -> float:
-    """Sketched quantile of the amount, relative rank error 1e-4; a default when there is none."""
-    found = cleaned.agg(F.percentile_approx("amount", p, P99_ACCURACY)).first()[0]
-    return DEFAULT_P99 if found is None else float(found)
+def amount_overview(raw: DataFrame, p: float = 0.99) -> tuple[int, float]:
+    """Row count and sketched amount quantile (relative rank error 1e-4) from one pass."""
+    amounts = raw.select(C.clean_amount(F.col("amount")).alias("amount"))
+    rows, found = amounts.agg(
+        F.count(F.lit(1)), F.percentile_approx("amount", p, P99_ACCURACY)
+    ).first()
+    return rows, DEFAULT_P99 if found is None else float(found)
 
 
 def cap_outliers(df: DataFrame, threshold: Column | float, amount: str = "amount") -> DataFrame:
@@ -88,7 +94,7 @@ def build_silver(raw: DataFrame, lookup: DataFrame, p99: float | None = None) ->
     """
     cleaned = clean_rows(raw)
     if p99 is None:
-        p99 = amount_p99(raw.select(C.clean_amount(F.col("amount")).alias("amount")))
+        _, p99 = amount_overview(raw)
     located = with_distance(join_zip(cleaned, lookup))
     amount = F.col("amount")
     featured = located.withColumns(
@@ -140,7 +146,7 @@ def build_zip_lookup(raw: DataFrame) -> DataFrame:
         )
         .distinct()
     )
-    whole = F.get(F.split("raw_zip", r"\."), F.lit(0))
+    whole = F.substring_index("raw_zip", ".", 1)
     padded = F.when(F.length(whole) < 5, F.lpad(whole, 5, "0")).otherwise(whole)
     first = (
         pairs.groupBy(padded.alias("zip"))

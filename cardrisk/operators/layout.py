@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from cardrisk.operators.enrich import dedupe_lookup
 from cardrisk.operators.sizing import fits_broadcast
+from cardrisk.session import materialise
 
 COMPARED_YEAR = 2018
 COMPARED_HOUR = 13
@@ -26,7 +27,7 @@ def join_count(silver: DataFrame, lookup: DataFrame, broadcast: bool) -> DataFra
     In the shuffle form the facts are counted per ZIP first. The ZIP of all rows without one
     can be a third of the table; counted, it is one row and cannot crowd a task.
     """
-    places = dedupe_lookup(lookup).select("zip", F.col("latitude").alias("lat"))
+    places = materialise(dedupe_lookup(lookup).select("zip", F.col("latitude").alias("lat")))
     if broadcast and fits_broadcast(places):
         joined = silver.select("zip", "amount_abs").join(F.broadcast(places), "zip")
         return joined.agg(F.count(F.lit(1)).alias("matched_rows"))

@@ -8,6 +8,7 @@ from collections.abc import Iterable
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -126,6 +127,12 @@ def feature_importances(model: PipelineModel, spark: SparkSession, names: list[s
     )
 
 
+def slot_names_of(model: PipelineModel) -> list[str]:
+    """Inputs of the pipeline's assembler, one per slot in the tree pipelines."""
+    assemblers = [stage for stage in model.stages if isinstance(stage, VectorAssembler)]
+    return assemblers[-1].getInputCols()
+
+
 def top_features(importances: DataFrame, n: int = 15, value: str = "importance") -> DataFrame:
     return importances.orderBy(F.desc(value), "feature").limit(n)
 

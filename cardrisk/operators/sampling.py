@@ -72,13 +72,30 @@ def sample_by_hash(df: DataFrame, fraction: float, key: Column | None = None, se
 
 def take_by_hash(df: DataFrame, n: int, key: Column | None = None, seed: int = 42) -> DataFrame:
     """Exactly ``n`` rows (all when there are fewer): those that come first in hash order."""
-    groups = materialise(_copy_groups(df, key, seed))
+    key = content_key(df.columns) if key is None else key
+    groups = materialise(_copy_groups(_first_part(df, n, key, seed), key, seed))
     ordered = running_totals(groups, "_u", ["_copies"], then_by=["_digest", *df.columns])
     room = F.lit(int(n)) - (F.col("_copies_upto") - F.col("_copies"))
     keep = F.greatest(F.lit(0), F.least(F.col("_copies"), room))
     return _expand(ordered.withColumn("_keep", keep), df.columns)
 
 
+def _first_part(df: DataFrame, n: int, key: Column, seed: int) -> DataFrame:
+    """A leading part of the hash order that holds ``n`` rows or more.
+
+    Keeps the shuffle of a small sample small: rows beyond the part cannot be among the first
+    ``n``. Widens until the part is known to be large enough.
+    """
+    fraction = digest_fraction(row_digest(key, seed))
+    share = 2.0 * n / max(df.count(), 1)
+    while share < 0.5:
+        part = df.filter(fraction < share)
+        if part.count() >= n:
+            return part
+        share *= 4
+    return df
+
+
 def class_counts(df: DataFrame, label: str = "is_fraud") -> DataFrame:
     return df.agg(
         F.count(F.lit(1)).alias("total_rows"), F.count_if(F.col(label) == 1).alias("positives")
@@ -115,12 +132,11 @@ def stratified_sample(
     the negatives are a plain filter without a shuffle; else copies are handled by count.
     """
     fraction = keep_fraction(df, negatives_per_positive, label)
-    positives = df.filter(F.col(label) == 1)
-    negatives = df.filter(F.col(label) == 0)
+    positive, negative = F.col(label) == 1, F.col(label) == 0
     if isinstance(key, str):
         below = digest_fraction(row_digest(F.col(key).cast("string"), seed)) < fraction
-        return positives.unionByName(negatives.filter(below))
-    return positives.unionByName(sample_by_hash(negatives, fraction, key, seed))
+        return df.filter(positive | (negative & below))
+    return df.filter(positive).unionByName(sample_by_hash(df.filter(negative), fraction, key, seed))
 
 
 def cap_rows(

@@ -18,8 +18,8 @@ SALTS = 64
 
 
 def fits_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Counts at most ``max_rows + 1`` rows of the dimension."""
-    return dim.limit(max_rows + 1).count() <= max_rows
+    """Whether the dimension has at most ``max_rows`` rows; hand in a materialised one."""
+    return dim.count() <= max_rows
 
 
 def left_join_dim(

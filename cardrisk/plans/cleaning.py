@@ -13,7 +13,7 @@ from cardrisk.plans import tables, views
 from cardrisk.plans.registry import query
 from cardrisk.schemas import RAW_COLUMNS, silver_columns
 from cardrisk.session import scratch
-from cardrisk.sources import files, sinks
+from cardrisk.sources import files
 
 SILVER_SQL_COLUMNS = ", ".join(c for c in silver_columns() if c != "processed_at")
 
@@ -367,7 +367,7 @@ def headers_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
 def zip_lookup_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build() -> str:
         path = scratch(spark, "zip-csv")
-        sinks.write_single_csv(views.zip_coords(spark, sf_dir), path)
+        views.zip_coords(spark, sf_dir).write.option("header", True).csv(path)
         return path
 
     return enrich.dedupe_lookup(files.read_zip_lookup(spark, tables.once(spark, sf_dir, "zip-csv", build)))

@@ -45,9 +45,12 @@ def scratch(spark: SparkSession, label: str) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: later steps re-read it, and it outlives lost executors."""
+    """The frame written to the shared folder and read back.
+
+    Cuts the lineage for steps that re-read it, outlives lost executors, and tells the
+    planner its size.
+    """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    path = scratch(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
