@@ -121,8 +121,8 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     half_lat = F.sin(F.radians(lat2 - lat1) / 2)
     half_lon = F.sin(F.radians(lon2 - lon1) / 2)
     chord = half_lat * half_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_lon * half_lon
-    # Rounding can push the root just past 1, where asin is NaN.
-    arc = F.asin(F.least(F.lit(1.0), F.sqrt(chord)))
+    # Rounding can push the chord just past 1, where asin is NaN. Not least(): it skips nulls.
+    arc = F.asin(F.when(chord > 1, F.lit(1.0)).otherwise(F.sqrt(chord)))
     return F.coalesce(F.round(F.lit(2 * EARTH_RADIUS_KM) * arc, 2), F.lit(NO_DISTANCE))
 
 

@@ -36,7 +36,8 @@ def _ladder(c: Column, rungs: Sequence[tuple[float, str]], floor: str) -> Column
 def calibrate(p: Column, base_rate: Column | float) -> Column:
     """Move a score learnt on balanced classes back to the real base rate."""
     base = _col(base_rate)
-    bounded = F.greatest(F.least(p, F.lit(1 - 1e-9)), F.lit(1e-9))
+    low, high = F.lit(1e-9), F.lit(1 - 1e-9)
+    bounded = F.when(p < low, low).when(p > high, high).otherwise(p)
     odds = bounded / (1 - bounded) * (base / (1 - base))
     return odds / (1 + odds)
 

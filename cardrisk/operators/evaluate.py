@@ -28,6 +28,11 @@ def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction
         F.count_if((y == 1) & (hit == 0)).alias("fn"),
         F.count_if((y == 0) & (hit == 0)).alias("tn"),
     )
+    return confusion_rates(cells)
+
+
+def confusion_rates(cells: DataFrame) -> DataFrame:
+    """Rates of a row of cell counts, 0 where there is nothing to divide by."""
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
     rated = cells.withColumns({"_precision": _ratio(tp, tp + fp), "_recall": _ratio(tp, tp + fn)})
     precision, recall = F.col("_precision"), F.col("_recall")

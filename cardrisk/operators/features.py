@@ -82,7 +82,9 @@ def class_weighted(df: DataFrame, ratio: float, label: str = "is_fraud") -> Data
 
 
 def indexers(categorical: list[str] = CATEGORICAL) -> list[StringIndexer]:
-    return [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in categorical]
+    """One indexer for all columns, so that one pass counts all their labels."""
+    outputs = [f"{c}_idx" for c in categorical]
+    return [StringIndexer(inputCols=categorical, outputCols=outputs, handleInvalid="keep")]
 
 
 def tree_feature_names(numeric: list[str] = NUMERIC, categorical: list[str] = CATEGORICAL) -> list[str]:

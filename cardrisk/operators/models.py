@@ -27,10 +27,16 @@ MODEL_NAMES = {"lr": "logistic_regression", "rf": "random_forest", "gbt": "gbt"}
 
 
 def training_frames(silver: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Weighted train frame and holdout frame, split by user, profiles joined."""
+    """Weighted train frame and holdout frame, split by user, profiles joined.
+
+    Only the columns that models and verdicts need, since both frames get cached.
+    """
     users = materialise(features.user_stats(silver))
     mccs = materialise(features.mcc_frequency(silver))
-    featured = features.build_features(silver, users, mccs)
+    computed = set(features.PROFILE_FEATURES)
+    needed = dict.fromkeys(["user", "amount", LABEL, *features.NUMERIC, *features.CATEGORICAL])
+    slim = silver.select(*[c for c in needed if c not in computed])
+    featured = features.build_features(slim, users, mccs)
     train, holdout = sampling.user_split(featured)
     ratio = sampling.class_ratio(sampling.user_split(silver.select("user", LABEL))[0]).first().class_ratio
     return features.class_weighted(train, ratio), holdout
@@ -59,7 +65,10 @@ def pipeline(
 
 def model_metrics(name: str, model: PipelineModel, holdout: DataFrame) -> DataFrame:
     """One row: Spark's areas and the confusion metrics on the holdout."""
-    scored = scoring.score(holdout, model)
+    # Written once: three evaluations follow, and scoring is the costly part.
+    scored = materialise(
+        scoring.score(holdout, model).select(LABEL, "rawPrediction", "prediction", "p")
+    )
     areas = evaluate.mllib_auc(scored)
     return evaluate.confusion(scored, label=LABEL).select(
         F.lit(name).alias("model"),

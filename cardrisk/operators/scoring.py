@@ -19,7 +19,7 @@ def rule_score() -> Column:
         + 0.25 * F.col("is_online")
         + 0.15 * F.col("is_night")
     )
-    return F.least(total, F.lit(1.0))
+    return F.when(total > 1, F.lit(1.0)).otherwise(total)
 
 
 def score(df: DataFrame, scorer) -> DataFrame:

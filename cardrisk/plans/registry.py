@@ -86,7 +86,7 @@ SELECT
   coalesce(geo_lat, CAST(0 AS DOUBLE)) AS device_lat, coalesce(geo_lon, CAST(0 AS DOUBLE)) AS device_lon,
   geo_missing, hw_missing, imputed_city, imputed_state, imputed_zip,
   coalesce(zip_lat, CAST(0 AS DOUBLE)) AS merchant_lat, coalesce(zip_lon, CAST(0 AS DOUBLE)) AS merchant_lon,
-  coalesce(round(CAST(12742 AS DOUBLE) * asin(least(CAST(1 AS DOUBLE), sqrt(chord))), 2), CAST(-1 AS DOUBLE))
+  coalesce(round(CAST(12742 AS DOUBLE) * asin(CASE WHEN chord > 1 THEN CAST(1 AS DOUBLE) ELSE sqrt(chord) END), 2), CAST(-1 AS DOUBLE))
     AS device_merchant_distance_km,
   CASE WHEN merchant_city = 'ONLINE' THEN 1 ELSE 0 END AS is_online,
   CASE WHEN length(merchant_state) <> 2 THEN 1 ELSE 0 END AS is_foreign_or_unknown,
