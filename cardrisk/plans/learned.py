@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardrisk.operators import evaluate, explain, models, sampling, scoring
-from cardrisk.plans import live, tables, views
+from cardrisk.operators import evaluate, explain, models, scoring
+from cardrisk.plans import live, tables
 from cardrisk.plans.registry import query
-from cardrisk.plans.rollups import silver_key
 from cardrisk.session import scratch
 from cardrisk.sources import sinks, streams
 from cardrisk.streaming import scorer
@@ -57,8 +56,7 @@ def model_threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def serving(spark: SparkSession, sf_dir: str, drop: tuple[str, ...] = ()):
     def build():
-        keyed = tables.silver(spark, sf_dir)
-        return models.train_serving_model(keyed, drop=drop, maxIter=ROUNDS)
+        return models.train_serving_model(tables.silver(spark, sf_dir), drop=drop, maxIter=ROUNDS)
 
     return tables.once(spark, sf_dir, f"serving-{'-'.join(drop)}", build)
 
@@ -122,6 +120,86 @@ def tree_contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# ---- what must hold whatever the fit is, so SQL can say it --------------------------------------
+
+HELD = "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS mismatched FROM silver s WHERE s.user % 5 = 0"
+ALL = "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS mismatched FROM silver"
+TOLERANCE = 1e-6
+
+
+def _gaps(rows: DataFrame, left: Column, right: Column) -> DataFrame:
+    close = F.coalesce(F.abs(left - right) < TOLERANCE, F.lit(False))
+    return rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~close).alias("mismatched"))
+
+
+def _disagreements(ours: DataFrame, theirs: DataFrame) -> DataFrame:
+    """Rows of the first frame, and how many rows either frame has beyond the other."""
+    columns = ours.columns
+    counted = ours.withColumn("_side", F.lit(1)).unionByName(theirs.withColumn("_side", F.lit(-1)))
+    balance = counted.groupBy(*columns).agg(
+        F.sum("_side").alias("_gap"), F.count_if(F.col("_side") == 1).alias("_ours")
+    )
+    return balance.agg(
+        F.sum("_ours").alias("rows"), F.sum(F.abs(F.col("_gap"))).cast("bigint").alias("mismatched")
+    )
+
+
+@query("tree_additivity", ("silver",), HELD)
+def tree_additivity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contributions of the boosted trees rebuild every holdout row's probability."""
+    total = F.expr("base_value + aggregate(contributions, 0D, (a, c) -> a + c.contribution)")
+    return _gaps(tree_rows(spark, sf_dir), F.col("p"), 1 / (1 + F.exp(-2 * total)))
+
+
+@query("linear_additivity", ("silver",), HELD)
+def linear_additivity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, _, _ = tables.trained(spark, sf_dir, "lr")
+    train, rows = models.training_frames(tables.silver(spark, sf_dir))
+    scored = scoring.score(rows, model).select(*rows.columns, "p")
+    total = F.expr("base_value + aggregate(contributions, 0D, (a, c) -> a + c.contribution)")
+    explained = explain.linear_contributions(model, scored, train, ["p"])
+    return _gaps(explained, F.col("p"), 1 / (1 + F.exp(-total)))
+
+
+@query("model_roundtrip_agreement", ("silver",), HELD)
+def model_roundtrip_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts of the fitted model and of the same model saved and loaded."""
+    model, path, _ = tables.trained(spark, sf_dir, "gbt")
+    rows = holdout(spark, sf_dir)
+    fitted, loaded = (
+        scoring.to_verdicts(scoring.score(rows, m)).drop("scored_at") for m in (model, sinks.load_model(path))
+    )
+    return _disagreements(fitted, loaded)
+
+
+@query("stream_model_agreement", ("silver",), ALL)
+def stream_model_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts of the model over the stream and over the table."""
+    model, _, _ = tables.trained(spark, sf_dir, "gbt")
+    featured = models.features.build_features(tables.silver(spark, sf_dir), *tables.profiles(spark, sf_dir))
+    batch = scoring.to_verdicts(scoring.score(featured, model)).drop("scored_at")
+    return _disagreements(stream_model_verdicts(spark, sf_dir).select(*batch.columns), batch)
+
+
+@query(
+    "model_label_totals",
+    ("silver",),
+    """
+    SELECT model, count(*) FILTER (WHERE is_fraud = 1) AS positives, count(*) FILTER (WHERE is_fraud = 0) AS negatives
+    FROM silver s, (VALUES ('logistic_regression'), ('random_forest'), ('gbt')) m(model)
+    WHERE s.user % 5 = 0 GROUP BY model
+    """,
+)
+def model_label_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each model's confusion cells add up to the holdout's labels."""
+    first, *rest = [tables.trained(spark, sf_dir, kind)[2] for kind in ("lr", "rf", "gbt")]
+    for part in rest:
+        first = first.unionByName(part)
+    return first.select(
+        "model", (F.col("tp") + F.col("fn")).alias("positives"), (F.col("fp") + F.col("tn")).alias("negatives")
+    )
+
+
 @query("global_attribution")
 def global_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explain.global_attribution(tree_rows(spark, sf_dir))
