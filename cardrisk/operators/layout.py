@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardrisk.operators.enrich import dedupe_lookup
 from cardrisk.operators.sizing import fits_broadcast
-from cardrisk.session import materialise
+from cardrisk.session import materialise, setting
 
 COMPARED_YEAR = 2018
 COMPARED_HOUR = 13
@@ -58,17 +57,6 @@ def seconds(df: DataFrame) -> float:
     return time.perf_counter() - started
 
 
-@contextmanager
-def adaptive_off(spark: SparkSession):
-    """Keeps adaptive execution from turning one compared plan into the other."""
-    before = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        yield
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", before)
-
-
 def timing_table(spark: SparkSession, runs: dict[str, Callable[[], DataFrame]]) -> DataFrame:
     """Label, seconds and speed-up over the first run."""
     timed = [(label, seconds(make())) for label, make in runs.items()]
@@ -82,7 +70,8 @@ def compare_layouts(silver: DataFrame, lookup: DataFrame, year: int = COMPARED_Y
     spark = silver.sparkSession
     slim = silver.select("merchant_state", "is_fraud").persist()
     try:
-        with adaptive_off(spark):
+        # Adaptive execution could turn one compared plan into the other.
+        with setting(spark, "spark.sql.adaptive.enabled", "false"):
             tables = {
                 "caching": {
                     "uncached_first": lambda: rate_pass(silver),

@@ -161,24 +161,27 @@ def train_serving_model(
     negatives_per_positive: float = sampling.NEGATIVES_PER_POSITIVE,
     max_train_rows: int = 3_000_000,
     drop: Iterable[str] = (),
-    key=None,
+    row_id: str | None = None,
     seed: int = 42,
     **overrides,
 ) -> tuple[PipelineModel, DataFrame, list[str]]:
     """Boosted trees on the stratified sample, stopped early on the holdout users.
 
+    ``row_id`` names a column unique per row, with which drawing the sample needs no shuffle.
     Returns the model, the scored holdout rows of the sample and the feature names.
     """
+    columns = [*sampling.SERVING_COLUMNS, *([row_id] if row_id else [])]
     sampled = materialise(
-        sampling.stratified_sample(silver.select(*sampling.SERVING_COLUMNS), negatives_per_positive, key=key, seed=seed)
+        sampling.stratified_sample(silver.select(*columns), negatives_per_positive, key=row_id, seed=seed)
     )
     filled = sampling.drop_features(sampling.fill_model_input(sampled, features.CATEGORICAL), list(drop))
     train, holdout = sampling.user_split(filled)
-    train = sampling.cap_rows(train, max_train_rows, key=key, seed=seed)
+    train = sampling.cap_rows(train, max_train_rows, key=F.col(row_id) if row_id else None, seed=seed)
     ratio = sampling.class_ratio(train).first().class_ratio
     both = train.withColumn("is_validation", F.lit(False)).unionByName(
         holdout.withColumn("is_validation", F.lit(True))
     )
+    # The sample's columns fix the feature order.
     used = [c for c in sampling.SERVING_COLUMNS if c not in {"user", LABEL, *drop}]
     categorical = [c for c in used if c in features.CATEGORICAL]
     numeric = [c for c in used if c not in categorical]

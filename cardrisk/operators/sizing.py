@@ -15,6 +15,7 @@ from cardrisk.session import materialise
 MAX_BROADCAST_ROWS = 500_000
 HOT_SHARE = 0.001
 SALTS = 64
+MAX_SLICES = 1000
 
 
 def fits_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
@@ -74,7 +75,7 @@ def running_totals(
     ``groups`` is read three times, so hand in a materialised frame.
     """
     spark = groups.sparkSession
-    slices = slices or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    slices = slices or min(MAX_SLICES, max(2, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     at = [i / slices for i in range(1, slices)]
     cuts = sorted(set(groups.approxQuantile(by, at, 1.0 / (4 * slices))))
     splits = [float("-inf"), *(cuts or [0.0]), float("inf")]

@@ -119,8 +119,8 @@ def export_sample(
 
 def train_serving(spark: SparkSession, silver: str, out: str, drop: Iterable[str] = (), **overrides) -> DataFrame:
     """The explained serving model: fit, metrics, threshold sweep and attributions."""
-    table = files.read_silver(spark, silver)
-    model, scored, names = models.train_serving_model(table, drop=drop, **overrides)
+    table = files.read_silver(spark, silver, row_id=True)
+    model, scored, names = models.train_serving_model(table, drop=drop, row_id="row_id", **overrides)
     path = f"{out}/model"
     sinks.save_model(model, path)
     scored = materialise(scored.select(*[c for c in scored.columns if c not in ("features", "rawPrediction", "probability")]))
@@ -148,7 +148,9 @@ def assess(spark: SparkSession, requests_json: str, schema: str, model: str, bas
 
 def _profiles(spark: SparkSession, silver: str) -> tuple[DataFrame, DataFrame]:
     table = files.read_silver(spark, silver)
-    return materialise(features.user_stats(table)), materialise(features.mcc_frequency(table))
+    made = features.user_stats(table), features.mcc_frequency(table)
+    # Cached, because every micro-batch joins them anew.
+    return tuple(materialise(profile).persist() for profile in made)
 
 
 def score_files(

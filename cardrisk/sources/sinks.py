@@ -11,17 +11,20 @@ from pyspark.sql import functions as F
 from cardrisk.functions.sampling_hash import content_key
 from cardrisk.operators.sampling import take_by_hash
 from cardrisk.schemas import PARTITION_COLUMNS
+from cardrisk.session import setting
 
 
-def write_silver(df: DataFrame, path: str, files: int | None = None) -> None:
+def write_silver(df: DataFrame, path: str, files: int | None = None, task_bytes: str = "512m") -> None:
     """Parquet partitioned by year and month.
 
-    The rebalance hint gathers each month into few files and lets adaptive execution split a
-    month that is far larger than the rest; ``files`` asks for a fixed number of writers.
+    The rebalance hint gathers each month into few files, cut at ``task_bytes`` of shuffled
+    data, and lets adaptive execution split a month that is far larger than the rest;
+    ``files`` asks for a fixed number of writers instead.
     """
     keys = [F.col(c) for c in PARTITION_COLUMNS]
     arranged = df.repartition(files, *keys) if files else df.hint("rebalance", *keys)
-    arranged.write.mode("overwrite").partitionBy(*PARTITION_COLUMNS).parquet(path)
+    with setting(df.sparkSession, "spark.sql.adaptive.advisoryPartitionSizeInBytes", task_bytes):
+        arranged.write.mode("overwrite").partitionBy(*PARTITION_COLUMNS).parquet(path)
 
 
 def write_single_csv(df: DataFrame, path: str) -> None:

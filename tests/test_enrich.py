@@ -82,6 +82,8 @@ def test_dashboard_frames_equal_single_rollups(silver):
     assert frames["fraud_by_state"].collect() == rollups.by_state(silver).collect()
     single = rollups.amount_distribution(silver).select("bucket", "total_txns", "fraud_txns").collect()
     assert frames["amount_distribution"].select("bucket", "total_txns", "fraud_txns").collect() == single
+    summary = frames["dataset_summary"].first().asDict()
+    assert summary == rollups.dataset_summary(silver).first().asDict()
     flags = {(r.flag, int(r.value)): r.total_txns for r in frames["fraud_by_device"].filter("flag <> 'os'").collect()}
     assert flags == {(r.flag, r.value): r.total_txns for r in rollups.by_flags(silver).collect()}
 
