@@ -100,7 +100,7 @@ def main() -> None:
                 "value": round(sum(timings.values()), 3),
                 "unit": "sec",
                 "queries": timings,
-                "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"),
+                "sf": float(os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf")),
                 "rows": rows,
                 "cpus": int(CPUS),
                 "ratios": {

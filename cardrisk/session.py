@@ -9,6 +9,10 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Temporary folders of local sessions, by application.
+_own_dirs: dict[str, str] = {}
+
+
 def build_session(app: str = "cardrisk", master: str | None = None, **conf) -> SparkSession:
     """UTC, ANSI and adaptive execution on; cluster sizing is left to spark-submit."""
     builder = (
@@ -42,13 +46,14 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session without the setting gets a temporary folder of its own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        context = spark.sparkContext
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        named = tempfile.mkdtemp(prefix="cardrisk-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
+    if named:
+        return named.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    if context.applicationId not in _own_dirs:
+        _own_dirs[context.applicationId] = tempfile.mkdtemp(prefix="cardrisk-")
+    return _own_dirs[context.applicationId]
 
 
 def scratch(spark: SparkSession, label: str) -> str:

@@ -3,12 +3,14 @@
 import contextlib
 import io
 
+import pytest
 from pyspark.sql import functions as F
 
 from cardrisk.operators import enrich, layout, rollups
 from cardrisk.plans import tables, views
 from cardrisk.plans.catalog import ORACLES, QUERIES
 from cardrisk.plans.cleaning import raw_csv_path
+from cardrisk.session import shared_dir
 from cardrisk.sources import files
 
 
@@ -75,6 +77,21 @@ def test_entry_contract(spark):
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-def test_shared_dir_is_read_from_the_session(spark, sf_dir):
-    named = spark.conf.get("spark.checkpoint.dir")
-    assert tables.silver_path(spark, sf_dir).startswith(named)
+class FakeSession:
+    """Only what the folder lookup asks for."""
+
+    def __init__(self, named, master):
+        self.conf = {"spark.checkpoint.dir": named} if named else {}
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": "fake"})
+
+
+def test_shared_dir_comes_from_the_session():
+    assert shared_dir(FakeSession("hdfs://x/ck/", "yarn")) == "hdfs://x/ck"
+    local = FakeSession(None, "local[2]")
+    assert shared_dir(local) == shared_dir(local) != ""
+    with pytest.raises(RuntimeError):
+        shared_dir(FakeSession(None, "yarn"))
+
+
+def test_tables_are_written_to_the_shared_dir(spark, sf_dir):
+    assert tables.silver_path(spark, sf_dir).startswith(shared_dir(spark))
