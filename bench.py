@@ -36,6 +36,7 @@ def main() -> None:
             "spark.sql.shuffle.partitions": CPUS,
             "spark.ui.enabled": "false",
             "spark.driver.memory": "16g",
+            "spark.ui.showConsoleProgress": "false",
             "spark.sql.files.openCostInBytes": "0",
         },
     )
