@@ -26,13 +26,16 @@ MODEL_NAMES = {"lr": "logistic_regression", "rf": "random_forest", "gbt": "gbt"}
 # --------------------------------------------------------------------------------------------
 
 
-def training_frames(silver: DataFrame) -> tuple[DataFrame, DataFrame]:
+def training_frames(
+    silver: DataFrame, profiles: tuple[DataFrame, DataFrame] | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Weighted train frame and holdout frame, split by user, profiles joined.
 
     Only the columns that models and verdicts need, since both frames get cached.
     """
-    users = materialise(features.user_stats(silver))
-    mccs = materialise(features.mcc_frequency(silver))
+    users, mccs = profiles or (
+        materialise(features.user_stats(silver)), materialise(features.mcc_frequency(silver))
+    )
     computed = set(features.PROFILE_FEATURES)
     needed = dict.fromkeys(["user", "amount", LABEL, *features.NUMERIC, *features.CATEGORICAL])
     slim = silver.select(*[c for c in needed if c not in computed])

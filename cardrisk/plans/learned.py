@@ -15,8 +15,12 @@ from cardrisk.streaming import scorer
 ROUNDS = 20
 
 
+def frames(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return models.training_frames(tables.silver(spark, sf_dir), tables.profiles(spark, sf_dir))
+
+
 def holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.training_frames(tables.silver(spark, sf_dir))[1]
+    return frames(spark, sf_dir)[1]
 
 
 @query("train_lr")
@@ -88,7 +92,7 @@ def dropped_features_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def linear_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, _, _ = tables.trained(spark, sf_dir, "lr")
-    train, rows = models.training_frames(tables.silver(spark, sf_dir))
+    train, rows = frames(spark, sf_dir)
     return explain.linear_contributions(model, rows, train, ["user", "mcc", "amount", models.LABEL])
 
 
@@ -104,7 +108,8 @@ def linear_contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tree_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, path, _ = tables.trained(spark, sf_dir, "gbt")
-    rows = scoring.score(holdout(spark, sf_dir), model).select(*holdout(spark, sf_dir).columns, "p")
+    held = holdout(spark, sf_dir)
+    rows = scoring.score(held, model).select(*held.columns, "p")
     keep = ["user", "mcc", "amount", models.LABEL, "p"]
     return explain.tree_contributions(model, path, rows, models.features.tree_feature_names(), keep)
 
@@ -154,7 +159,7 @@ def tree_additivity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("linear_additivity", ("silver",), HELD)
 def linear_additivity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, _, _ = tables.trained(spark, sf_dir, "lr")
-    train, rows = models.training_frames(tables.silver(spark, sf_dir))
+    train, rows = frames(spark, sf_dir)
     scored = scoring.score(rows, model).select(*rows.columns, "p")
     total = F.expr("base_value + aggregate(contributions, 0D, (a, c) -> a + c.contribution)")
     explained = explain.linear_contributions(model, scored, train, ["p"])
