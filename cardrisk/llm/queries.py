@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardrisk.llm import chat, packing, urls
+from cardrisk.llm import chat, packing, quality, secrets, urls
 from cardrisk.llm.tokens import vocabulary
 
 #: Fixed values: (action, host, path).
@@ -28,6 +28,15 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.render(table(spark, sf_dir, "conversations"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secrets.digest(secrets.scan(docs, secrets.fit(docs)))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digest(packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json")))
 
@@ -42,6 +51,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_chat_formatting": op2_chat_formatting,
+    "op3_secret_scan": op3_secret_scan,
+    "op6_quality": op6_quality,
     "op7_packing": op7_packing,
     "op10_url_filter": op10_url_filter,
 }
