@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardrisk.llm import chat, packing, quality, secrets, urls
+from cardrisk.llm import chat, packing, quality, secrets, simhash, urls
 from cardrisk.llm.tokens import vocabulary
 
 #: Fixed values: (action, host, path).
@@ -33,6 +33,10 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(docs, secrets.fit(docs)))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -52,6 +56,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_chat_formatting": op2_chat_formatting,
     "op3_secret_scan": op3_secret_scan,
+    "op4_simhash": op4_simhash,
     "op6_quality": op6_quality,
     "op7_packing": op7_packing,
     "op10_url_filter": op10_url_filter,
