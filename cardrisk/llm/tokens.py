@@ -1,24 +1,34 @@
 """Token ids as packed bytes, for the operators that count or pack tokens.
 
-Byte-level BPE never joins what stands on either side of a single space between two visible characters: the space opens
-the next pre-token. Texts are cut there, each distinct unit is encoded once by ``tokenizers`` and remembered, and a
-document is the concatenation of its units' ids. Tests hold this against encoding whole texts.
+Byte-level BPE merges inside pre-tokens only, so a text's ids are those of its pre-tokens in a row. Pre-tokens are found
+by the vocabulary's published pattern; the model of ``tokenizers`` encodes each distinct one once, and a worker
+remembers them. Tests hold this against encoding whole texts. A text that spells an added token, or has one of the
+control characters on which pattern engines differ, goes through the whole tokenizer.
 """
 
 from __future__ import annotations
 
+import json
 import os
-import re
 from functools import lru_cache
 
 import numpy as np
+import regex
 
-#: Units remembered by one Python worker before its table starts anew.
-CACHE_UNITS = 400_000
-#: Longer units are encoded each time, so that the table stays small.
+#: Pre-tokens remembered by one Python worker before its table starts anew.
+CACHE = 600_000
+#: Longer pre-tokens are encoded each time, so that the table stays small.
 CACHE_CHARS = 64
 
-_CUT = re.compile(r"(?<=\S) (?=\S)")
+#: Control characters that some engines count as white space.
+_ODD = regex.compile(r"[\x1c-\x1f\x85᠎]")
+
+
+def byte_alphabet() -> str:
+    """The character that stands for each byte: itself where it can be seen, else the next one from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    spare = iter(range(256, 512))
+    return "".join(chr(b) if b in seen else chr(next(spare)) for b in range(256))
 
 
 class Encoder:
@@ -26,31 +36,39 @@ class Encoder:
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        import public_tokenizers
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        shape = json.loads(self._tokenizer.to_str())
+        before, model = shape["pre_tokenizer"] or {}, shape["model"]
+        self._by_parts = before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and model["type"] == "BPE" \
+            and not shape["normalizer"]
+        self._model = self._tokenizer.model
+        self._added = [x["content"] for x in shape["added_tokens"]]
+        self._split = regex.compile(public_tokenizers.PATTERN).findall
+        self._bytes = {i: c for i, c in enumerate(byte_alphabet())}
         self._known: dict[str, bytes] = {}
 
-    def _learn(self, units: list[str]) -> dict[str, bytes]:
-        found = self._tokenizer.encode_batch(units, add_special_tokens=False)
-        return {unit: np.asarray(x.ids, dtype="<u4").tobytes() for unit, x in zip(units, found, strict=True)}
+    def whole(self, text: str) -> bytes:
+        return np.asarray(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _learn(self, part: str) -> bytes:
+        tokens = self._model.tokenize(part.encode().decode("latin-1").translate(self._bytes))
+        ids = b"".join([t.id.to_bytes(4, "little") for t in tokens])
+        if len(part) <= CACHE_CHARS:
+            if len(self._known) >= CACHE:
+                self._known.clear()
+            self._known[part] = ids
+        return ids
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        first, *rest = _CUT.split(text)
-        units = [first, *[" " + unit for unit in rest]]
-        known = self._known
-        try:
-            return b"".join([known[unit] for unit in units])
-        except KeyError:
-            pass
-        new = self._learn([unit for unit in dict.fromkeys(units) if unit not in known])
-        if len(known) > CACHE_UNITS:
-            new |= {unit: known[unit] for unit in units if unit in known}
-            known.clear()
-        known.update((unit, ids) for unit, ids in new.items() if len(unit) <= CACHE_CHARS)
-        return b"".join([new[unit] if unit in new else known[unit] for unit in units])
+        if not self._by_parts or _ODD.search(text) or any(x in text for x in self._added):
+            return self.whole(text)
+        known, learn = self._known.get, self._learn
+        return b"".join([known(part) or learn(part) for part in self._split(text)])
 
 
 @lru_cache(maxsize=4)
