@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardrisk.llm import chat, packing, quality, secrets, simhash, urls
+from cardrisk.llm import chat, decontam, linededup, packing, quality, secrets, simhash, urls
 from cardrisk.llm.tokens import vocabulary
 
 #: Fixed values: (action, host, path).
@@ -45,6 +45,14 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digest(packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json")))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.digest(linededup.dedup(table(spark, sf_dir, "documents")))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     host, path = urls.host_of(F.col("url")), urls.path_of(F.col("url"))
@@ -59,6 +67,8 @@ QUERIES = {
     "op4_simhash": op4_simhash,
     "op6_quality": op6_quality,
     "op7_packing": op7_packing,
+    "op8_decontamination": op8_decontamination,
+    "op9_line_dedup": op9_line_dedup,
     "op10_url_filter": op10_url_filter,
 }
 
