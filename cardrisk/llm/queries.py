@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardrisk.llm import chat, decontam, linededup, packing, quality, secrets, simhash, urls
+from cardrisk.llm import ann, chat, decontam, linededup, packing, quality, secrets, simhash, urls
 from cardrisk.llm.tokens import vocabulary
 
 #: Fixed values: (action, host, path).
@@ -37,6 +37,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -65,6 +69,7 @@ QUERIES = {
     "op2_chat_formatting": op2_chat_formatting,
     "op3_secret_scan": op3_secret_scan,
     "op4_simhash": op4_simhash,
+    "op5_nearest_neighbours": op5_nearest_neighbours,
     "op6_quality": op6_quality,
     "op7_packing": op7_packing,
     "op8_decontamination": op8_decontamination,
