@@ -187,7 +187,7 @@ def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", ve
     sizes = told.groupBy("list").agg(F.count("*").alias("np")).join(reads.groupBy("list").agg(F.count("*").alias("nq")), "list")
     sizes = F.broadcast(sizes.select("list", deal("np").alias("p"), deal("nq").alias("q")))
     side = lambda rows, own, other: rows.join(sizes, "list").select(
-        "key", "list", F.pmod(F.xxhash64("key"), F.col(own)).alias(own), F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other))
+        "key", "list", F.pmod(F.xxhash64("key"), F.col(own)).cast("int").alias(own), F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other))
     held = side(told, "p", "q").join(postings.select("key", "v", "ids"), "key")
     want = side(reads, "q", "p").join(queries, "key")
 
