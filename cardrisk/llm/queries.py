@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardrisk.llm import ann, chat, decontam, linededup, packing, quality, secrets, simhash, urls
+from cardrisk.llm import ann, chat, decontam, linededup, packing, quality, secrets, simhash, token_counts, urls
 from cardrisk.llm.tokens import vocabulary
+from cardrisk.session import scratch
 
 #: Fixed values: (action, host, path).
 URL_RULES = [
@@ -24,6 +25,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents inserted with an estimate, revised by their exact counts, labelled toxic ones taken down again.
+
+    The exact counts are committed a second time, as after a restart, which changes nothing.
+    """
+    docs = table(spark, sf_dir, "documents")
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+
+    def events(op: str, version: int, tokenizer: str, tokens) -> DataFrame:
+        return docs.select("doc_id", F.lit(tokenizer).alias("tokenizer"), F.lit(version).alias("version"), F.lit(op).alias("op"),
+                           "source", "lang", tokens.alias("tokens"))
+
+    exact = events("revise", 2, "byte_bpe_50k", token_counts.count_tokens(F.col("text"), vocabulary("byte_bpe_50k.json")))
+    estimates = events("insert", 1, "byte_bpe_50k", F.ceil(size / 4)).unionByName(events("insert", 1, "utf8_bytes", size))
+    gone = table(spark, sf_dir, "labels").filter("toxic = 1").select(
+        "doc_id", F.explode(F.array(F.lit("byte_bpe_50k"), F.lit("utf8_bytes"))).alias("tokenizer"), F.lit(3).alias("version"),
+        F.lit("delete").alias("op"), F.lit(None).cast("string").alias("source"), F.lit(None).cast("string").alias("lang"),
+        F.lit(None).cast("long").alias("tokens"))
+    rollup = token_counts.TokenRollup(spark, scratch(spark, "token-rollup"))
+    for batch, changes in (("1-estimates", estimates), ("2-exact", exact), ("3-takedowns", gone), ("2-exact", exact)):
+        rollup.apply(batch, changes)
+    return rollup.totals()
+
+
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.render(table(spark, sf_dir, "conversations"))
 
@@ -66,6 +91,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
     "op2_chat_formatting": op2_chat_formatting,
     "op3_secret_scan": op3_secret_scan,
     "op4_simhash": op4_simhash,
