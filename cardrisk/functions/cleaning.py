@@ -32,9 +32,14 @@ def blank(c: Column) -> Column:
     return c.isNull() | (F.trim(c) == "")
 
 
+def _finite(c: Column) -> Column:
+    """The number, or 0 where it is missing, infinite or not a number."""
+    return F.when(F.abs(c) < float("inf"), c).otherwise(0.0)
+
+
 def clean_amount(c: Column) -> Column:
     digits = F.translate(F.trim(c), "$,", "")
-    return F.coalesce(digits.try_cast("double"), F.lit(0.0))
+    return _finite(digits.try_cast("double"))
 
 
 def clean_label(c: Column) -> Column:
@@ -162,7 +167,7 @@ def coerce_int(c: Column) -> Column:
 
 
 def coerce_double(c: Column) -> Column:
-    return F.coalesce(c.try_cast("double"), F.lit(0.0))
+    return _finite(c.try_cast("double"))
 
 
 def coerce_text(c: Column) -> Column:

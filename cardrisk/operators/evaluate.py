@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -77,9 +78,16 @@ def exact_auc(df: DataFrame, label: str = "label", p: str = "p") -> DataFrame:
     """Average precision and area under the ROC curve over every distinct score.
 
     Rows are first counted per score, so ties and repeated scores cost one row; the running
-    counts down the ranking are then exact at any number of scores.
+    counts down the ranking are then exact at any number of scores. Rows whose score is null or
+    not a number are not ranked; ``skipped`` counts them. Infinite scores rank first and last.
     """
-    scored = df.select((-F.col(p).cast("double")).alias("_neg"), F.col(label).alias("_y"))
+    value = F.col(p).cast("double")
+    ranked_rows = value.isNotNull() & ~F.isnan(value)
+    skipped = df.filter(~ranked_rows).count()
+    greatest = F.lit(sys.float_info.max)
+    scored = df.filter(ranked_rows).select(
+        F.greatest(-greatest, F.least(greatest, -value)).alias("_neg"), F.col(label).alias("_y")
+    )
     groups = materialise(
         scored.groupBy("_neg").agg(
             F.count_if(F.col("_y") == 1).alias("pos"), F.count_if(F.col("_y") == 0).alias("neg")
@@ -93,12 +101,13 @@ def exact_auc(df: DataFrame, label: str = "label", p: str = "p") -> DataFrame:
         F.sum(F.col("pos") * (tp / (tp + fp))).alias("_precision_area"),
         F.sum(F.col("neg") * (tp - F.col("pos") / 2.0)).alias("_roc_area"),
     )
-    positives, negatives = F.col("positives"), F.col("negatives")
+    positives, negatives = F.coalesce("positives", F.lit(0)), F.coalesce("negatives", F.lit(0))
     return areas.select(
         F.round(_ratio(F.col("_precision_area"), positives), 6).alias("pr_auc"),
         F.round(_ratio(F.col("_roc_area"), positives * negatives), 6).alias("roc_auc"),
         "positives",
         "negatives",
+        F.lit(skipped).cast("bigint").alias("skipped"),
     )
 
 

@@ -115,14 +115,13 @@ def linear_stages(numeric: list[str] = NUMERIC, categorical: list[str] = CATEGOR
 
 def request_features(requests: DataFrame) -> DataFrame:
     """Serving features of sparse scoring requests; only ``amount`` must be there."""
-    filled = requests.select(
-        "*" if "amount" in requests.columns else F.lit(None).cast("double").alias("amount"),
-    )
+    if "amount" not in requests.columns:
+        raise ValueError("scoring requests need an amount")
     defaults = {
         c: F.coalesce(F.col(c), F.lit(v)) if c in requests.columns else F.lit(v)
         for c, v in REQUEST_DEFAULTS.items()
     }
-    filled = filled.withColumns(defaults)
+    filled = requests.withColumns(defaults)
     amount, hour, state = F.col("amount"), F.col("hour"), F.col("merchant_state")
     return filled.withColumns(
         {

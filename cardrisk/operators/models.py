@@ -18,10 +18,11 @@ from cardrisk.session import materialise
 # ---- fixed values: estimator settings ------------------------------------------------------
 LABEL = "is_fraud"
 LINEAR = {"maxIter": 20, "regParam": 0.01, "elasticNetParam": 0.0}
-TREES = {"maxDepth": 6, "maxBins": 256, "seed": 42}
+TREES = {"maxDepth": 6, "seed": 42}
+LEAST_BINS = 256
 FOREST_TREES = 30
 BOOST_ROUNDS = 15
-SERVING = {"maxIter": 600, "maxDepth": 6, "stepSize": 0.08, "maxBins": 256, "seed": 42}
+SERVING = {"maxIter": 600, "maxDepth": 6, "stepSize": 0.08, "seed": 42}
 MODEL_NAMES = {"lr": "logistic_regression", "rf": "random_forest", "gbt": "gbt"}
 # --------------------------------------------------------------------------------------------
 
@@ -45,25 +46,35 @@ def training_frames(
     return features.class_weighted(train, ratio), holdout
 
 
+def fit_indexers(train: DataFrame, categorical: list[str] = features.CATEGORICAL) -> tuple[list, int]:
+    """The fitted label indexers, and the bins a tree needs: one for each label and one for labels not seen."""
+    fitted = [indexer.fit(train) for indexer in features.indexers(categorical)]
+    most = max((len(labels) for indexer in fitted for labels in indexer.labelsArray), default=0)
+    return fitted, max(LEAST_BINS, most + 1)
+
+
 def pipeline(
     kind: str,
     numeric: list[str] = features.NUMERIC,
     categorical: list[str] = features.CATEGORICAL,
+    indexed: tuple[list, int] | None = None,
     **overrides,
 ) -> Pipeline:
+    """``indexed`` is what ``fit_indexers`` gave; several kinds can share it."""
+    stages, bins = indexed or (features.indexers(categorical), LEAST_BINS)
     common = {"featuresCol": "features", "labelCol": LABEL, "weightCol": "class_weight"}
     if kind == "lr":
         estimator = LogisticRegression(**common, **{**LINEAR, **overrides})
         prepare = features.linear_stages(numeric, categorical)
     elif kind == "rf":
-        estimator = RandomForestClassifier(**common, **{"numTrees": FOREST_TREES, **TREES, **overrides})
+        estimator = RandomForestClassifier(**common, **{"numTrees": FOREST_TREES, "maxBins": bins, **TREES, **overrides})
         prepare = features.tree_stages(numeric, categorical)
     elif kind == "gbt":
-        estimator = GBTClassifier(**common, **{"maxIter": BOOST_ROUNDS, **TREES, **overrides})
+        estimator = GBTClassifier(**common, **{"maxIter": BOOST_ROUNDS, "maxBins": bins, **TREES, **overrides})
         prepare = features.tree_stages(numeric, categorical)
     else:
         raise ValueError(f"unknown model kind {kind!r}")
-    return Pipeline(stages=[*features.indexers(categorical), *prepare, estimator])
+    return Pipeline(stages=[*stages, *prepare, estimator])
 
 
 def model_metrics(name: str, model: PipelineModel, holdout: DataFrame) -> DataFrame:
@@ -82,7 +93,7 @@ def model_metrics(name: str, model: PipelineModel, holdout: DataFrame) -> DataFr
 
 
 def _failure(spark: SparkSession, name: str, error: Exception, like: DataFrame | None) -> DataFrame:
-    row = spark.range(1).select(F.lit(name).alias("model"), F.lit(str(error)[:500]).alias("error"))
+    row = spark.range(1).select(F.lit(name).alias("model"), F.lit(str(error)).alias("error"))
     if like is None:
         return row
     return row.select(
@@ -106,13 +117,14 @@ def train_models(
     holdout = holdout.persist(StorageLevel.MEMORY_AND_DISK)
     models, rows = {}, None
     try:
+        indexed = fit_indexers(train)
         for kind in kinds:
             if kind in set(skip):
                 continue
             name = MODEL_NAMES[kind]
             started = time.time()
             try:
-                models[name] = pipeline(kind, **overrides.get(kind, {})).fit(train)
+                models[name] = pipeline(kind, indexed=indexed, **overrides.get(kind, {})).fit(train)
                 seconds = round(time.time() - started, 1)
                 row = materialise(
                     model_metrics(name, models[name], holdout).withColumn("train_seconds", F.lit(seconds))
@@ -171,6 +183,7 @@ def train_serving_model(
     """Boosted trees on the stratified sample, stopped early on the holdout users.
 
     ``row_id`` names a column unique per row, with which drawing the sample needs no shuffle.
+    The bound of the fit: of the sampled train rows at most ``max_train_rows``, drawn by hash, are learned from.
     Returns the model, the scored holdout rows of the sample and the feature names.
     """
     columns = [*sampling.SERVING_COLUMNS, *([row_id] if row_id else [])]
@@ -191,7 +204,7 @@ def train_serving_model(
     settings = {**SERVING, "validationIndicatorCol": "is_validation", **overrides}
     weighted = features.class_weighted(both, ratio).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = pipeline("gbt", numeric, categorical, **settings).fit(weighted)
+        model = pipeline("gbt", numeric, categorical, fit_indexers(weighted, categorical), **settings).fit(weighted)
     finally:
         weighted.unpersist()
     return model, scoring.score(holdout, model), features.tree_feature_names(numeric, categorical)

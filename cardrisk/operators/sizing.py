@@ -71,10 +71,12 @@ def running_totals(
     slices at approximate quantiles of ``by``; sums inside a slice come from a partitioned
     window, sums of the slices before it from a window over the slice totals, which are as
     many rows as there are slices. The cuts only balance the work: the result does not depend
-    on them. ``by`` must be a double without nulls; rows equal on it share a slice.
+    on them. ``by`` must be a finite double, a null raises; rows equal on it share a slice.
     ``groups`` is read three times, so hand in a materialised frame.
     """
     spark = groups.sparkSession
+    absent = F.raise_error(F.lit(f"running totals by {by} need a value in every row")).cast("double")
+    groups = groups.withColumn(by, F.coalesce(F.col(by), absent))
     slices = slices or min(MAX_SLICES, max(2, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     at = [i / slices for i in range(1, slices)]
     cuts = sorted(set(groups.approxQuantile(by, at, 1.0 / (4 * slices))))

@@ -84,7 +84,7 @@ def train(
         table = sampling.sample(table, fraction)
 
     def keep(name, model, metrics):
-        sinks.append_metrics(metrics, f"{out}/metrics/{name}")
+        sinks.write_metrics(metrics, f"{out}/metrics/{name}")
         if model is None:
             return
         sinks.save_model(model, f"{out}/models/{name}")
@@ -156,28 +156,33 @@ def _profiles(spark: SparkSession, silver: str) -> tuple[DataFrame, DataFrame]:
 def score_files(
     spark: SparkSession, silver: str, model: str, source: str, out: str, checkpoint: str,
     run_seconds: int = scorer.FILE_RUN_SECONDS, trigger: str | None = scorer.FILE_TRIGGER,
+    max_files: int | None = None,
 ) -> DataFrame:
-    """Scores a folder of CSV files as they arrive."""
+    """Scores a folder of CSV files as they arrive; ``trigger=None`` takes what is there and stops.
+
+    ``max_files`` bounds a micro-batch; by default a batch takes all new files.
+    """
     users, mccs = _profiles(spark, silver)
-    verdicts = scorer.file_verdicts(streams.stream_csv(spark, source), users, mccs, sinks.load_model(model))
+    verdicts = scorer.file_verdicts(streams.stream_csv(spark, source, max_files), users, mccs, sinks.load_model(model))
     scorer.run_bounded(scorer.start_scoring(verdicts, out, checkpoint, trigger), run_seconds)
-    return scorer.running_counters(spark.read.parquet(f"{out}/metrics"))
+    return scorer.written_counters(spark, out)
 
 
 def score_events(
     spark: SparkSession, silver: str, model: str, servers: str, topic: str, verdict_topic: str,
     out: str, checkpoint: str, run_seconds: int = scorer.EVENT_RUN_SECONDS,
+    trigger: str | None = scorer.EVENT_TRIGGER, max_offsets: int | None = None,
 ) -> DataFrame:
-    """Scores a Kafka topic and publishes the verdicts to another."""
+    """Scores a Kafka topic and publishes the verdicts to another; options as in ``score_files``."""
     users, mccs = _profiles(spark, silver)
-    messages = streams.stream_kafka(spark, servers, topic)
+    messages = streams.stream_kafka(spark, servers, topic, max_offsets=max_offsets)
     verdicts = scorer.event_verdicts(messages, users, mccs, sinks.load_model(model))
     query = scorer.start_scoring(
-        verdicts, out, checkpoint, scorer.EVENT_TRIGGER, scorer.EVENT_TOP_K,
+        verdicts, out, checkpoint, trigger, scorer.EVENT_TOP_K,
         scorer.kafka_publisher(servers, verdict_topic),
     )
     scorer.run_bounded(query, run_seconds)
-    return scorer.running_counters(spark.read.parquet(f"{out}/metrics"))
+    return scorer.written_counters(spark, out)
 
 
 def tune(spark: SparkSession, silver: str, zip_csv: str, out: str) -> DataFrame:

@@ -12,8 +12,6 @@ from cardrisk.session import scratch
 from cardrisk.sources import sinks, streams
 from cardrisk.streaming import scorer
 
-ROUNDS = 20
-
 
 def frames(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return models.training_frames(tables.silver(spark, sf_dir), tables.profiles(spark, sf_dir))
@@ -60,7 +58,7 @@ def model_threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def serving(spark: SparkSession, sf_dir: str, drop: tuple[str, ...] = ()):
     def build():
-        return models.train_serving_model(tables.silver(spark, sf_dir), drop=drop, maxIter=ROUNDS)
+        return models.train_serving_model(tables.silver(spark, sf_dir), drop=drop)
 
     return tables.once(spark, sf_dir, f"serving-{'-'.join(drop)}", build)
 

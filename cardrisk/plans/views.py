@@ -74,7 +74,6 @@ SELECT
   25 + ((s_suppkey * 13) % 2400) / CAST(100 AS DOUBLE) AS latitude,
   -(70 + ((s_suppkey * 17) % 5000) / CAST(100 AS DOUBLE)) AS longitude
 FROM @supplier
-WHERE s_suppkey % 10 <> 9
 """
 
 EVENT_ROWS = """

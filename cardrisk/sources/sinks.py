@@ -85,9 +85,9 @@ def write_profile(profile: DataFrame, path: str) -> None:
     ).text(path)
 
 
-def append_metrics(metrics: DataFrame, path: str) -> None:
-    """Appended after each model, so a later failure cannot lose an earlier result."""
-    metrics.write.mode("append").parquet(path)
+def write_metrics(metrics: DataFrame, path: str) -> None:
+    """Written after each model to a folder of its own, which a rerun overwrites."""
+    metrics.write.mode("overwrite").parquet(path)
 
 
 def save_model(model, path: str) -> None:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -92,10 +93,23 @@ def batch_metrics(verdicts: DataFrame, batch_id: int) -> DataFrame:
 def running_counters(metrics: DataFrame) -> DataFrame:
     """Totals over all batches written so far; they survive a restart with the files."""
     return metrics.agg(
-        F.count(F.lit(1)).alias("batches"), F.sum("rows").alias("rows"), F.sum("flagged").alias("flagged")
+        F.count(F.lit(1)).alias("batches"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum("flagged"), F.lit(0)).alias("flagged"),
     )
 
 
+def written_counters(spark: SparkSession, out: str) -> DataFrame:
+    """The running counters of an output folder; zeros where no batch has run yet."""
+    schema = "batch_id long, rows long, flagged long"
+    try:
+        metrics = spark.read.schema(schema).parquet(f"{out}/metrics")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        metrics = spark.createDataFrame([], schema)
+    return running_counters(metrics)
+
+
 def batch_writer(out: str, k: int, publish: Callable[[DataFrame], None] | None = None):
     """The per-batch action.
 

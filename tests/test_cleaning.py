@@ -141,3 +141,13 @@ def test_message_coercion(spark):
     assert apply(spark, given, C.coerce_int) == [4917, 7, 0, 0, 0]
     assert apply(spark, given, C.coerce_double) == [4917.0, 7.0, 0.0, 0.0, 0.0]
     assert apply(spark, [" a ", " ", "", None], C.coerce_text) == ["a", "UNKNOWN", "UNKNOWN", "UNKNOWN"]
+
+
+def test_amounts_that_are_no_numbers_are_zero(spark):
+    from pyspark.sql import functions as F
+
+    from cardrisk.functions import cleaning
+
+    rows = spark.createDataFrame([("NaN",), ("Infinity",), ("-Infinity",), ("$1,200.5",), (None,)], "v string")
+    got = [tuple(r) for r in rows.select(cleaning.clean_amount(F.col("v")), cleaning.coerce_double(F.col("v"))).collect()]
+    assert got == [(0.0, 0.0), (0.0, 0.0), (0.0, 0.0), (1200.5, 0.0), (0.0, 0.0)]

@@ -153,3 +153,20 @@ def test_request_defaults(spark):
     assert (row.hour, row.mcc, row.is_refund, row.device_os, row.extra) == (12, 5411, 1, "Android", 0)
     full = features.request_features(sent).first()
     assert (full.merchant_state, full.is_foreign_or_unknown, full.amount_abs) == ("NY ", 0, 12.5)
+
+
+def test_tree_bins_follow_the_labels(spark):
+    from cardrisk.operators import features, models
+
+    rows = spark.range(1000).selectExpr("CAST(id AS STRING) AS merchant_state", "'a' AS error_type", "'b' AS device_os", "'c' AS use_chip")
+    indexed = models.fit_indexers(rows, features.CATEGORICAL)
+    assert indexed[1] == 1001
+    for kind in ("rf", "gbt"):
+        assert models.pipeline(kind, indexed=indexed).getStages()[-1].getMaxBins() == 1001
+
+
+def test_requests_without_an_amount_are_refused(spark):
+    from cardrisk.operators import features
+
+    with pytest.raises(ValueError, match="amount"):
+        features.request_features(spark.createDataFrame([(1,)], "hour int"))

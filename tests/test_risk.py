@@ -102,6 +102,25 @@ def test_exact_auc_against_all_pairs(spark):
     assert got.roc_auc == pytest.approx(roc, abs=1e-6)
 
 
+def test_exact_auc_passes_over_missing_scores(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, 0.2), (1, None), (1, 0.7), (0, nan), (1, inf), (0, -inf), (0, 0.9)]
+    ap, roc = brute_auc([(y, p) for y, p in rows if p is not None and p == p])
+    got = evaluate.exact_auc(frame(spark, rows)).first()
+    assert (got.pr_auc, got.roc_auc) == (pytest.approx(ap, abs=1e-6), pytest.approx(roc, abs=1e-6))
+    assert (got.positives, got.negatives, got.skipped) == (2, 3, 2)
+    none = evaluate.exact_auc(frame(spark, [(1, None), (0, None)])).first()
+    assert (none.positives, none.negatives, none.skipped) == (None, None, 2)
+
+
+def test_running_totals_refuse_nulls(spark):
+    from cardrisk.operators.sizing import running_totals
+
+    groups = spark.createDataFrame([(1.0, 1), (None, 2)], "v double, n long")
+    with pytest.raises(Exception, match="need a value"):
+        running_totals(groups, "v", ["n"]).collect()
+
+
 def test_brier_and_lift(spark):
     rows = frame(spark, [(1, 0.8), (0, 0.4)])
     assert evaluate.brier(rows).first()[0] == pytest.approx(0.1)

@@ -140,3 +140,8 @@ def test_live_views(spark):
     assert [r.event_id for r in liveops.top_risk(rows, 2).collect()] == [2, 3]
     empty = liveops.stream_kpis(rows.limit(0)).first()
     assert (empty.scored, empty.flagged, empty.flag_rate_pct) == (0, 0, 0.0)
+
+
+def test_idle_stream_has_zero_counters(spark, tmp_path):
+    got = scorer.written_counters(spark, str(tmp_path / "never")).first()
+    assert (got.batches, got.rows, got.flagged) == (0, 0, 0)
