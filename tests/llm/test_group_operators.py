@@ -125,10 +125,11 @@ def test_line_dedup_against_brute_force(spark):
     rng = np.random.default_rng(9)
     pool = ["".join(rng.choice(list("abcdefgh "), int(rng.integers(12, 300)))) for _ in range(150)]
     hot = "this very line stands in a third of all the documents of the table, word for word"
+    template = "".join(rng.choice(list("klmnopqrst "), 250))
     rows = []
     for i in range(240):
         chosen = [pool[int(j)] for j in rng.integers(0, 150, 3)]
-        edited = list(hot * 3)
+        edited = list(template)
         edited[int(rng.integers(0, len(edited)))] = "#"
         rows.append((i, "\n".join([*chosen, hot if i % 3 == 0 else "short", "".join(edited), ""])))
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], DOC)
