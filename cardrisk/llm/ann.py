@@ -43,30 +43,37 @@ class ListIndex:
         x = x / self.norm
         return np.hstack([x, np.sqrt(np.maximum(0, 1 - (x * x).sum(axis=1, keepdims=True)))])
 
-    def nearest(self, x: np.ndarray, ratio: float, most: int | None = None) -> list[np.ndarray]:
-        """Lists of each lifted vector, nearest first: all that the walk meets within the ratio of the nearest."""
-        return [self._walk(row, ratio, most) for row in x]
-
-    def _walk(self, x: np.ndarray, ratio: float, most: int | None) -> np.ndarray:
-        """Best-first search of the graph that goes on while a centroid within the ratio (and some to spare) is open."""
-        spare = ratio * 1.15
-        distance = {0: float(np.linalg.norm(self.centroids[0] - x))}
-        best, opened, front = distance[0], set(), [0]
-        while front:
-            fresh = [j for i in front for j in self.graph[i] if j not in distance]
-            opened.update(front)
-            if fresh:
-                fresh = list(dict.fromkeys(fresh))
-                found = np.linalg.norm(self.centroids[fresh] - x, axis=1)
-                distance.update(zip(fresh, found.tolist(), strict=True))
-                best = min(best, float(found.min()))
-            front = [i for i, d in distance.items() if i not in opened and d <= best * spare]
-            if not front:
-                # The nearest closed node may hide a better one behind an open neighbour: look at the best open ones once.
-                ahead = sorted((d, i) for i, d in distance.items() if i not in opened)[:1]
-                front = [i for d, i in ahead if d <= best * spare * 1.1]
-        within = sorted((d, i) for i, d in distance.items() if d <= best * ratio)
-        return np.array([i for _, i in within[:most]], dtype=np.int64)
+    def nearest(self, x: np.ndarray, ratio: float, least: int = 1, most: int | None = None, block: int = 256) -> list[np.ndarray]:
+        """Lists of each lifted vector, nearest first: all that the walk meets within the ratio, ``least`` in any case."""
+        return [found for i in range(0, len(x), block) for found in self._walk(x[i : i + block], ratio, least, most)]
+
+    def _walk(self, x: np.ndarray, ratio: float, least: int, most: int | None) -> list[np.ndarray]:
+        """Best-first search of the graph for some vectors at once.
+
+        Each opens the neighbours of the nearest centroid that it has met, and of all within the ratio, until none is left.
+        """
+        square = (x * x).sum(axis=1)
+        own = (self.centroids**2).sum(axis=1)
+        distance = np.full((len(x), len(self.centroids)), np.inf)
+        opened = np.zeros(distance.shape, dtype=bool)
+        first = np.linspace(0, len(self.centroids) - 1, min(16, len(self.centroids))).astype(np.int64)
+        distance[:, first] = square[:, None] + own[first] - 2 * x @ self.centroids[first].T
+        while True:
+            best = distance.min(axis=1)
+            rows, nodes = np.nonzero(~opened & (distance <= best[:, None] * ratio**2))
+            if not len(rows):
+                break
+            opened[rows, nodes] = True
+            fresh = np.zeros(distance.shape, dtype=bool)
+            fresh[np.repeat(rows, self.graph.shape[1]), self.graph[nodes].ravel()] = True
+            rows, nodes = np.nonzero(fresh & np.isinf(distance))
+            met = square[rows] + own[nodes] - 2 * np.einsum("ij,ij->i", x[rows], self.centroids[nodes])
+            distance[rows, nodes] = np.maximum(met, 0)
+        best = distance.min(axis=1)
+        within = (distance <= best[:, None] * ratio**2).sum(axis=1)
+        order = np.argsort(distance, axis=1, kind="stable")
+        counts = np.minimum(np.maximum(within, least), np.isfinite(distance).sum(axis=1))
+        return [row[:n][:most] for row, n in zip(order, counts.tolist(), strict=True)]
 
 
 def _halve(x: np.ndarray, rows: np.ndarray, target: int, rng: np.random.Generator, out: list[np.ndarray]) -> None:
@@ -88,7 +95,7 @@ def _halve(x: np.ndarray, rows: np.ndarray, target: int, rng: np.random.Generato
 
 
 def fit(sample: np.ndarray, rows: int, list_rows: int = 256, most_lists: int = 8_192, copy_ratio: float = 1.05,
-        most_copies: int = 4, recall: float = 0.97, neighbours: int = 16, k: int = 20, norm: float = 1.0, seed: int = 3) -> ListIndex:
+        most_copies: int = 4, recall: float = 0.95, neighbours: int = 16, k: int = 20, norm: float = 1.0, seed: int = 3) -> ListIndex:
     """An index for ``rows`` vectors from a sample of them; ``norm`` is the greatest norm of all vectors."""
     rng = np.random.default_rng(seed)
     index = ListIndex(np.zeros((1, 1)), np.zeros((1, 0), np.int64), max(norm, 1e-300), copy_ratio, 1.0, most_copies)
@@ -111,14 +118,14 @@ def fit(sample: np.ndarray, rows: int, list_rows: int = 256, most_lists: int = 8
 
 def _ratio(index: ListIndex, sample: np.ndarray, lifted: np.ndarray, k: int, recall: float, rng: np.random.Generator) -> float:
     """The smallest reading ratio whose recall on queries from the sample, against all of it, is high enough."""
-    place = [set(x.tolist()) for x in index.nearest(lifted, index.copy_ratio, index.most_copies)]
+    place = [set(x.tolist()) for x in index.nearest(lifted, index.copy_ratio, most=index.most_copies)]
     asked = rng.choice(len(sample), min(len(sample), 200), replace=False)
     exact = sample[asked] @ sample.T
     exact[np.arange(len(asked)), asked] = -np.inf
     best = np.argsort(-exact, axis=1)[:, : min(k, max(1, len(sample) - 1))]
     queries = index.lift(sample[asked], query=True)
     for ratio in (1.02, 1.05, 1.1, 1.15, 1.2, 1.25, 1.3, 1.4, 1.5, 1.75, 2.0):
-        read = [set(x.tolist()) for x in index.nearest(queries, ratio)]
+        read = [set(x.tolist()) for x in index.nearest(queries, ratio, least=2)]
         hit = np.mean([[bool(place[j] & read[i]) for j in best[i]] for i in range(len(asked))])
         if hit >= recall:
             return ratio
@@ -173,7 +180,7 @@ def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", ve
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for read in batches:
                 x = index.lift(np.array(read.column(1).to_pylist()).reshape(len(read), -1), query)
-                lists = index.nearest(x, index.read_ratio) if query else index.nearest(x, index.copy_ratio, index.most_copies)
+                lists = index.nearest(x, index.read_ratio, least=2) if query else index.nearest(x, index.copy_ratio, most=index.most_copies)
                 yield pa.RecordBatch.from_arrays([read.column(0), pa.array([y.tolist() for y in lists], pa.list_(pa.int64()))], names=["key", "lists"])
 
         return run
@@ -181,7 +188,7 @@ def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", ve
     shape = "key long, lists array<long>"
     told = materialise(postings.select("key", "v").mapInArrow(place(False), shape).select("key", F.explode("lists").alias("list")))
     queries = asked.select("key", "v").distinct()
-    reads = materialise(queries.mapInArrow(place(True), shape).select("key", F.explode("lists").alias("list")))
+    reads = materialise(queries.mapInArrow(place(True), shape).select("key", F.posexplode("lists").alias("at", "list")))
     # Lists in blocks: as many as keep a block near BLOCK rows, dealt by hash.
     deal = lambda name: F.greatest(F.lit(1), F.ceil(F.col(name) / BLOCK)).cast("int")
     sizes = told.groupBy("list").agg(F.count("*").alias("np")).join(reads.groupBy("list").agg(F.count("*").alias("nq")), "list")
@@ -189,21 +196,34 @@ def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", ve
     side = lambda rows, own, other: rows.join(sizes, "list").select(
         "key", "list", F.pmod(F.xxhash64("key"), F.col(own)).cast("int").alias(own), F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other))
     held = side(told, "p", "q").join(postings.select("key", "v", "ids"), "key")
-    want = side(reads, "q", "p").join(queries, "key")
 
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return pd.DataFrame({"q": np.zeros(0, np.int64), "ids": pd.Series([], dtype=object), "score": np.zeros(0)})
         x, y = np.stack(left["v"].to_list()), np.stack(right["v"].to_list())
-        products = np.stack([(x[i] * y).sum(axis=1) for i in range(len(x))])
+        products = x @ y.T
         most = min(k + 1, len(y))
         # All at the last kept score stay, so that a tie is settled by ids later on.
-        least = np.partition(products, len(y) - most, axis=1)[:, len(y) - most]
-        rows, columns = np.nonzero(products >= least[:, None])
-        return pd.DataFrame({"q": left["key"].to_numpy()[rows], "ids": [right["ids"].iat[j].tolist() for j in columns], "score": products[rows, columns]})
-
-    near = want.groupBy("list", "p", "q").cogroup(held.groupBy("list", "p", "q")).applyInPandas(score, "q long, ids array<long>, score double")
-    near = near.withColumnRenamed("q", "key").distinct().select("key", "score", F.explode("ids").alias("vec_id"))
+        least = np.maximum(np.partition(products, len(y) - most, axis=1)[:, len(y) - most], left["bound"].to_numpy())
+        # Matrix products round by the block's shape; the scores told are summed row by row.
+        rows, columns = np.nonzero(products >= least[:, None] - 1e-9 * np.abs(products).max())
+        exact = (x[rows] * y[columns]).sum(axis=1)
+        return pd.DataFrame({"q": left["key"].to_numpy()[rows], "ids": [right["ids"].iat[j].tolist() for j in columns], "score": exact})
+
+    def found(lists: DataFrame, asking: DataFrame) -> DataFrame:
+        """key, score and vec_id of what the lists hold for their queries, above each query's bound."""
+        want = side(lists, "q", "p").join(asking, "key")
+        near = want.groupBy("list", "p", "q").cogroup(held.groupBy("list", "p", "q")).applyInPandas(score, "q long, ids array<long>, score double")
+        return near.select(F.col("q").alias("key"), "score", F.explode("ids").alias("vec_id"))
+
+    # The nearest list gives each query a bound, below which the other lists need not answer.
+    once = lambda rows: rows.groupBy("key", "vec_id").agg(F.max("score").alias("score"))
+    first = materialise(found(reads.filter("at = 0"), queries.withColumn("bound", F.lit(float("-inf")))))
+    first = once(first)
+    rank = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score"), "vec_id"))
+    bounds = first.withColumn("n", rank).filter(F.col("n") == k + 1).select("key", F.col("score").alias("bound"))
+    bounded = materialise(queries.join(bounds, "key", "left").withColumn("bound", F.coalesce("bound", F.lit(float("-inf")))))
+    near = once(first.unionByName(found(reads.filter("at > 0"), bounded)))
     order = Window.partitionBy("key").orderBy(F.desc("score"), "vec_id")
     near = materialise(near.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k + 1).select("key", "score", "vec_id", "n"))
     lists = near.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("n", "vec_id", "score"))).alias("found"))
