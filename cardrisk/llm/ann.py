@@ -122,7 +122,8 @@ def _ratio(index: ListIndex, sample: np.ndarray, lifted: np.ndarray, k: int, rec
     asked = rng.choice(len(sample), min(len(sample), 200), replace=False)
     exact = sample[asked] @ sample.T
     exact[np.arange(len(asked)), asked] = -np.inf
-    best = np.argsort(-exact, axis=1)[:, : min(k, max(1, len(sample) - 1))]
+    wanted = min(k, max(1, len(sample) - 1))
+    best = np.argpartition(-exact, wanted - 1, axis=1)[:, :wanted]
     queries = index.lift(sample[asked], query=True)
     for ratio in (1.02, 1.05, 1.1, 1.15, 1.2, 1.25, 1.3, 1.4, 1.5, 1.75, 2.0):
         read = [set(x.tolist()) for x in index.nearest(queries, ratio, least=2)]
@@ -153,7 +154,7 @@ def _first_ids(rows: DataFrame, k: int) -> DataFrame:
     return keyed.groupBy("key", "v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
 
 
-def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", fit_rows: int = 65_536, **options) -> DataFrame:
+def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", fit_rows: int = 16_384, **options) -> DataFrame:
     """query_id, rank, vec_id and score: of each query its k nearest other rows by inner product.
 
     ``is_query`` is a condition on ``id``. The index is fitted on at most about ``fit_rows`` distinct vectors drawn by
@@ -172,8 +173,9 @@ def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", ve
     if width != 1:
         raise ValueError("vectors have different numbers of components")
     part = min(1.0, fit_rows / total)
-    drawn = postings.filter(F.pmod(F.xxhash64("key", F.lit("fit")), F.lit(1_000_000)) < F.lit(part * 1_000_000)).select("v").collect()
-    sample = np.array([r["v"] for r in drawn] or [postings.first()["v"]])
+    drawn = postings.filter(F.pmod(F.xxhash64("key", F.lit("fit")), F.lit(1_000_000)) < F.lit(part * 1_000_000)).select("v").toArrow()["v"].combine_chunks().flatten()
+    sample = drawn.to_numpy() if len(drawn) else np.array(postings.first()["v"])
+    sample = sample.reshape(-1, postings.select(F.size("v")).first()[0])
     index = fit(sample, total, k=k, norm=norm, **options)
 
     def place(query: bool):
