@@ -144,6 +144,21 @@ def test_line_dedup_against_brute_force(spark):
     assert linededup.digest(linededup.dedup(docs, rule)).count() == 240
 
 
+def linked_share(spark, pairs):
+    """Share of pairs of lines, each pair a document, of which one line goes."""
+    docs = spark.createDataFrame([(i, f"{a}\n{b}") for i, (a, b) in enumerate(pairs)], "doc_id long, text string")
+    rows = linededup.dedup(docs).select(F.sum(F.size("dropped")).alias("n")).first()
+    return rows.n / len(pairs)
+
+
+def test_short_lines_with_four_of_five_shingles_shared_meet(spark):
+    rng = np.random.default_rng(21)
+    longer = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 11)) for _ in range(600)]
+    assert linked_share(spark, [(x, x[:-1]) for x in longer]) > 0.96
+    longer = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 16)) for _ in range(600)]
+    assert linked_share(spark, [(x, x[1:-1]) for x in longer]) > 0.96
+
+
 def test_line_dedup_odd_rows(spark):
     docs = odd_documents(spark)
     rows = linededup.dedup(docs)
