@@ -159,6 +159,16 @@ def test_short_lines_with_four_of_five_shingles_shared_meet(spark):
     assert linked_share(spark, [(x, x[1:-1]) for x in longer]) > 0.96
 
 
+def test_long_lines_meet_short_ones_of_the_same_shingles(spark):
+    rng = np.random.default_rng(22)
+    chars = list("abcdefghijklmnopqrstuvwxyz")
+    pairs = [("-" * 100, "-" * 260)]
+    for _ in range(60):
+        unit = "".join(rng.choice(chars, 20))
+        pairs.append((unit * 5, unit * 40))
+    assert linked_share(spark, pairs) == 1
+
+
 def test_line_dedup_odd_rows(spark):
     docs = odd_documents(spark)
     rows = linededup.dedup(docs)
