@@ -91,6 +91,12 @@ def test_network_learns_labelled_findings():
     assert (scores[labels[~fit] == 0] >= net.threshold).mean() <= 0.05
 
 
+def test_secret_scan_learns_from_rare_findings_of_a_large_table(spark):
+    text = lambda i: f"understandable circumstances {i}" + (f" token = {hashlib.sha256(str(i).encode()).hexdigest()[:24]}" if i % 50 == 0 else "")
+    docs = spark.createDataFrame([(i, text(i)) for i in range(2000)], "doc_id long, text string")
+    assert secrets.fit(docs, sample_docs=40, rounds=1) is not None
+
+
 def test_secret_scan_odd_rows(spark):
     docs = odd_documents(spark)
     assert secrets.fit(docs) is None
