@@ -5,7 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardrisk.llm import ann, chat, decontam, linededup, packing, quality, secrets, simhash, token_counts, urls
+from cardrisk.llm import (
+    alignment,
+    ann,
+    chat,
+    decontam,
+    linededup,
+    packing,
+    quality,
+    secrets,
+    simhash,
+    token_counts,
+    urls,
+    warc,
+)
 from cardrisk.llm.tokens import vocabulary
 from cardrisk.session import scratch
 
@@ -90,6 +103,17 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, listed, URL_RULES)
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = scratch(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), archive)
+    return warc.digest(warc.read(spark, archive))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.measures(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"),
+                              vocabulary("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_chat_formatting": op2_chat_formatting,
@@ -101,6 +125,8 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_line_dedup": op9_line_dedup,
     "op10_url_filter": op10_url_filter,
+    "op12_warc": op12_warc,
+    "op13_alignment": op13_alignment,
 }
 
 CHAT_SQL = """
@@ -156,7 +182,21 @@ SELECT c.page_id, c.host, c.path, b.rule,
 FROM c LEFT JOIN best b ON b.page_id = c.page_id LEFT JOIN l ON l.canonical = c.canonical
 """
 
+WARC_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS payload, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS newest FROM pages
+),
+d AS (SELECT *, sha1(payload) AS hex FROM p)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+  array_to_string([translate(to_base(CAST('0x' || substr(hex, 5 * i + 1, 5) AS BIGINT), 32, 4),
+    '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') FOR i IN range(8)], '') AS payload_digest,
+  CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> newest THEN newest END AS refers_to
+FROM d
+"""
+
 ORACLES = {
     "op2_chat_formatting": CHAT_SQL,
     "op10_url_filter": URL_SQL,
+    "op12_warc": WARC_SQL,
 }

@@ -32,24 +32,32 @@ def byte_alphabet() -> str:
 
 
 class Encoder:
-    """Texts to little-endian unsigned 32-bit ids, without special tokens added."""
+    """Texts to little-endian unsigned 32-bit ids, without special tokens added.
 
-    def __init__(self, path: str):
+    With ``special`` off, a text that spells a special token is plain text like any other.
+    """
+
+    def __init__(self, path: str, special: bool = True):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import public_tokenizers
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        self._tokenizer.encode_special_tokens = not special
         shape = json.loads(self._tokenizer.to_str())
         before, model = shape["pre_tokenizer"] or {}, shape["model"]
         self._by_parts = before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and model["type"] == "BPE" \
             and not shape["normalizer"]
         self._model = self._tokenizer.model
-        self._added = [x["content"] for x in shape["added_tokens"]]
+        self._added = [x["content"] for x in shape["added_tokens"] if special or not x["special"]]
         self._split = regex.compile(public_tokenizers.PATTERN).findall
         self._bytes = {i: c for i, c in enumerate(byte_alphabet())}
         self._known: dict[str, bytes] = {}
 
+    def vocabulary(self) -> dict[str, int]:
+        """Tokens, as the file spells them, and their ids; added ones apart."""
+        return self._tokenizer.get_vocab(with_added_tokens=False)
+
     def whole(self, text: str) -> bytes:
         return np.asarray(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
