@@ -15,6 +15,7 @@ from cardrisk.llm import (
     quality,
     secrets,
     simhash,
+    structure,
     token_counts,
     urls,
     warc,
@@ -103,6 +104,24 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, listed, URL_RULES)
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with one turn in twenty dropped, emptied, robbed of its sentence ends, repeated, or set to user each."""
+    space = F.lit(" ")
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    kind = F.crc32(key.cast("binary")) % 20
+    role, text = F.coalesce("role", space), F.coalesce("text", space)
+    hurt = turns.filter(kind != 0).select(
+        "conv_id", "turn", F.when(kind == 4, "user").otherwise(role).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.explode(F.when(kind == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("_copy"))
+    return hurt.drop("_copy")
+
+
+def op11_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return structure.digest(turns, structure.repair(damaged(turns)))
+
+
 def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive = scratch(spark, "warc")
     warc.write(table(spark, sf_dir, "pages"), archive)
@@ -125,6 +144,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_line_dedup": op9_line_dedup,
     "op10_url_filter": op10_url_filter,
+    "op11_structure": op11_structure,
     "op12_warc": op12_warc,
     "op13_alignment": op13_alignment,
 }
