@@ -234,7 +234,8 @@ def _rows(turns: DataFrame) -> DataFrame:
 class _Run:
     """Turns of a conversation gathered for one chunk."""
 
-    def __init__(self):
+    def __init__(self, most_turns: int, most_chars: int):
+        self.most_turns, self.most_chars = most_turns, most_chars
         self.symbols, self.roles, self.texts, self.kinds = bytearray(), [], [], []
         self.counts, self.turns, self.chars = [0, 0, 0], [], 0
 
@@ -251,7 +252,7 @@ class _Run:
             self.turns.append(turn)
 
     def full(self) -> bool:
-        return len(self.symbols) >= CHUNK_TURNS or self.chars >= CHUNK_CHARS
+        return len(self.symbols) >= self.most_turns or self.chars >= self.most_chars
 
     def stats(self) -> dict:
         illegal = sum(pair not in LEGAL for pair in zip(self.kinds, self.kinds[1:]))
@@ -268,7 +269,7 @@ EDIT = "array<struct<edit: string, role: string, text: string>>"
 STATS = ["blank", "duplicate", "truncated", "illegal", "first_kind", "last_kind", "least", "most", "distinct"]
 
 
-def _chunks(rows: DataFrame) -> DataFrame:
+def _chunks(rows: DataFrame, most_turns: int, most_chars: int) -> DataFrame:
     """One row per chunk, numbered in the order of turns; conversations that lie within a task have their edits."""
     order = ["conv_id", "turn", "role", "begin", "digest"]
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order).select(
@@ -278,7 +279,7 @@ def _chunks(rows: DataFrame) -> DataFrame:
         schema = schema.add(name, "long")
     schema = schema.add("edits", T.DataType.fromDDL(EDIT)).add("symbols", "binary")
     for name, kind in (("roles", "string"), ("texts", "string"), ("before", "int"), ("taken", "int"), ("exits", "int")):
-        schema = schema.add(name, f"array<{kind}>")
+        schema = schema.add(name, T.DataType.fromDDL(f"array<{kind}>"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -309,11 +310,11 @@ def _chunks(rows: DataFrame) -> DataFrame:
                     if gathered is not None:
                         close(conv, gathered, cut or not inside)
                         inside = True
-                    gathered, conv, cut = _Run(), conv_id, False
+                    gathered, conv, cut = _Run(most_turns, most_chars), conv_id, False
                 for copy in range(copies):
                     if gathered.full():
                         close(conv, gathered, True)
-                        gathered, cut = _Run(), True
+                        gathered, cut = _Run(most_turns, most_chars), True
                     fault = 0 if blank else 1 if copy or not first else 2 if symbol >= 2 + KINDS else None
                     gathered.add(turn, role, text, GONE if copy else symbol, kind, fault)
                     if len(held) >= 64:
@@ -358,17 +359,18 @@ def _places(split: DataFrame) -> DataFrame:
         run, "chunk long, behind int, state int, last boolean, whole_cost long")
 
 
-def repair(turns: DataFrame) -> DataFrame:
+def repair(turns: DataFrame, most_turns: int = CHUNK_TURNS, most_chars: int = CHUNK_CHARS) -> DataFrame:
     """conv_id, chunk, split, cost, counts and edits (edit, role, text) of each conversation, in the order of chunk.
 
     Reads conv_id, turn, role and text; a null role or text is one space, a null id is a conversation like any other.
     Turns stand in the order of turn (nulls first), role, the first 128 characters of the text and its SHA-256. A turn is
     blank without a character that isn't white space, a duplicate where its role and text came before (a repeated row is
     one), else truncated where its last character that isn't white space ends no sentence. Blank and duplicate turns are
-    deleted. A conversation whose turns are few and lie in one task is one row, another one row per chunk with ``split``
-    set and its cost at the first. A table without rows gives none; other columns are not read.
+    deleted. A conversation whose turns are few and lie in one task is one row, another one row per chunk, of at most
+    ``most_turns`` turns and about ``most_chars`` characters, with ``split`` set and its cost at the first. A table without
+    rows gives none; other columns are not read.
     """
-    chunks = materialise(_chunks(_rows(turns)))
+    chunks = materialise(_chunks(_rows(turns), most_turns, most_chars))
     split = chunks.filter("split")
     placed = split.drop("edits", "cost", "before", "taken", "exits").join(_places(split), "chunk")
     names = ["conv_id", "chunk", "split", "cost", *STATS]
@@ -409,7 +411,8 @@ def digest(turns: DataFrame, repaired: DataFrame) -> DataFrame:
                             F.array_join(F.transform("edits", lambda e: e["edit"]), "").alias("audit"))
     # Turn numbers may lie further apart than a long can tell.
     span = F.col("most").cast("decimal(20,0)") - F.col("least") + 1 - F.col("distinct")
-    gaps = F.coalesce(F.least(span, F.lit((1 << 63) - 1).cast("decimal(20,0)")).cast("long"), F.lit(0).cast("long"))
+    most = F.lit((1 << 63) - 1).cast("decimal(20,0)")
+    gaps = F.when(F.col("least").isNull(), F.lit(0).cast("long")).otherwise(F.least(span, most).cast("long"))
     whole = shown.filter("not split").select("conv_id", gaps.alias("gaps"), *columns[1:], "audit",
                                              F.sha2("lines", 256).alias("repaired_sha256"))
     schema = T.StructType([T.StructField("conv_id", _kind_of(repaired, "conv_id"))])
