@@ -43,6 +43,8 @@ DEFAULT_CENTROID = (39.833333, -98.583333)
 ZIP_SPREAD_DEGREES = 1.2
 DEFAULT_P99 = 1000.0
 P99_ACCURACY = 10_000
+# The largest size there is: a rank error of about one in ten thousand.
+SKETCH_SIZE = 65_535
 # ------------------------------------------------------------------------------------------
 
 
@@ -82,6 +84,36 @@ def amount_overview(raw: DataFrame, p: float = 0.99) -> tuple[int, float]:
     return rows, DEFAULT_P99 if found is None else float(found)
 
 
+def sketch_amounts(raw: DataFrame) -> DataFrame:
+    """file_path, rows and a KLL sketch of the amounts of each input file; ``raw`` comes straight from a scan.
+
+    Sketches merge, so a table of them can be kept and only new files be read later.
+    """
+    amounts = raw.select(
+        F.col("_metadata.file_path").alias("file_path"), C.clean_amount(F.col("amount")).alias("amount")
+    )
+    return amounts.groupBy("file_path").agg(
+        F.count(F.lit(1)).alias("rows"), F.kll_sketch_agg_double("amount", F.lit(SKETCH_SIZE)).alias("sketch")
+    )
+
+
+def refresh_sketches(raw: DataFrame, kept: DataFrame | None) -> DataFrame:
+    """The kept sketches, and those of the files that have none yet; the file names prune the scan."""
+    if kept is None:
+        return sketch_amounts(raw)
+    known = [r[0] for r in kept.select("file_path").collect()]
+    return kept.unionByName(sketch_amounts(raw.filter(~F.col("_metadata.file_path").isin(known))))
+
+
+def sketched_quantile(sketches: DataFrame, p: float = 0.99) -> tuple[int, float]:
+    """Rows and quantile of all files together."""
+    merged = sketches.agg(F.sum("rows").alias("rows"), F.kll_merge_agg_double("sketch").alias("sketch"))
+    rows, found = merged.select(
+        F.coalesce("rows", F.lit(0)), F.when(F.col("rows") > 0, F.kll_sketch_get_quantile_double("sketch", F.lit(p)))
+    ).first()
+    return rows, DEFAULT_P99 if found is None else float(found)
+
+
 def cap_outliers(df: DataFrame, threshold: Column | float, amount: str = "amount") -> DataFrame:
     bound = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
     return df.withColumns(C.outlier_features(F.col(amount), bound))

@@ -79,21 +79,21 @@ def exact_auc(df: DataFrame, label: str = "label", p: str = "p") -> DataFrame:
 
     Rows are first counted per score, so ties and repeated scores cost one row; the running
     counts down the ranking are then exact at any number of scores. Rows whose score is null or
-    not a number are not ranked; ``skipped`` counts them. Infinite scores rank first and last.
+    not a number are not ranked; ``skipped`` counts them, as one more group of the same pass.
+    Infinite scores rank first and last.
     """
     value = F.col(p).cast("double")
-    ranked_rows = value.isNotNull() & ~F.isnan(value)
-    skipped = df.filter(~ranked_rows).count()
     greatest = F.lit(sys.float_info.max)
-    scored = df.filter(ranked_rows).select(
-        F.greatest(-greatest, F.least(greatest, -value)).alias("_neg"), F.col(label).alias("_y")
-    )
-    groups = materialise(
+    place = F.greatest(-greatest, F.least(greatest, -value))
+    scored = df.select(F.when(value.isNotNull() & ~F.isnan(value), place).alias("_neg"), F.col(label).alias("_y"))
+    counted = materialise(
         scored.groupBy("_neg").agg(
-            F.count_if(F.col("_y") == 1).alias("pos"), F.count_if(F.col("_y") == 0).alias("neg")
+            F.count_if(F.col("_y") == 1).alias("pos"), F.count_if(F.col("_y") == 0).alias("neg"),
+            F.count(F.lit(1)).alias("n"),
         )
     )
-    ranked = running_totals(groups, "_neg", ["pos", "neg"])
+    skipped = counted.filter("_neg IS NULL").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    ranked = running_totals(counted.filter("_neg IS NOT NULL").drop("n"), "_neg", ["pos", "neg"])
     tp, fp = F.col("pos_upto"), F.col("neg_upto")
     areas = ranked.agg(
         F.sum("pos").alias("positives"),

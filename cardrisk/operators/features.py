@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    OneHotEncoder,
+    StandardScaler,
+    StringIndexer,
+    StringIndexerModel,
+    VectorAssembler,
+)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardrisk.operators.sampling import user_split
-from cardrisk.operators.sizing import fits_broadcast, left_join_dim
+from cardrisk.operators.sizing import MAX_BROADCAST_ROWS, fits_broadcast, left_join_dim
 
 # ---- fixed values: model inputs and request defaults ---------------------------------------
 CATEGORICAL = ["use_chip", "merchant_state", "device_os", "error_type"]
@@ -23,6 +29,7 @@ PROFILE_FEATURES = [
     "user_amount_mean", "user_amount_std", "user_txn_count", "amount_vs_user_mean",
     "amount_zscore", "mcc_frequency",
 ]
+MAX_LABELS = 1_000
 REQUEST_DEFAULTS = {
     "hour": 12, "day": 15, "month": 6, "minute": 0, "mcc": 5411, "merchant_state": "CA",
     "use_chip": "Chip Transaction", "device_os": "Android", "error_type": "NONE",
@@ -60,6 +67,30 @@ def join_profiles_stream(stream: DataFrame, users: DataFrame, mccs: DataFrame) -
     return stream
 
 
+def prune_profile(profile: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The profile's rows for some keys. The keys are what is sent around; the profile stays where it is."""
+    return profile.join(F.broadcast(keys), key, "left_semi")
+
+
+def join_profiles_batch(
+    batch: DataFrame, users: DataFrame, mccs: DataFrame, max_rows: int = MAX_BROADCAST_ROWS
+) -> DataFrame:
+    """Profiles joined to one micro-batch, which should be persisted; profiles should be written tables.
+
+    A profile that is too large for a broadcast is cut down to the batch's own keys first, so
+    it is scanned but not shuffled. A batch with more keys than that joins like any table.
+    """
+    for dim, key, weight in ((users, "user", "user_txn_count"), (mccs, "mcc", "mcc_frequency")):
+        if not fits_broadcast(dim, max_rows):
+            keys = batch.select(key).filter(F.col(key).isNotNull()).distinct()
+            if not fits_broadcast(keys, MAX_BROADCAST_ROWS):
+                batch = left_join_dim(batch, dim, key, weight=weight, max_rows=max_rows)
+                continue
+            dim = prune_profile(dim, keys, key)
+        batch = batch.join(F.broadcast(dim), key, "left")
+    return batch
+
+
 def user_relative_features(df: DataFrame) -> DataFrame:
     """Amount against the user's own history; 0 where there is none."""
     mean, amount = F.col("user_amount_mean"), F.col("amount_abs")
@@ -87,6 +118,28 @@ def indexers(categorical: list[str] = CATEGORICAL) -> list[StringIndexer]:
     return [StringIndexer(inputCols=categorical, outputCols=outputs, handleInvalid="keep")]
 
 
+def frequent_labels(train: DataFrame, column: str, most: int = MAX_LABELS) -> list[str]:
+    """The ``most`` most frequent values of a column, ties by value; nulls are no label."""
+    counted = train.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    return [str(r[0]) for r in counted.orderBy(F.desc("n"), column).limit(most).collect()]
+
+
+def bounded_indexers(
+    train: DataFrame, categorical: list[str] = CATEGORICAL, most: int = MAX_LABELS
+) -> list[StringIndexerModel]:
+    """An index of each column's frequent labels; rarer, unseen and null ones share one more.
+
+    The driver, the model and the bins of a tree hold at most ``most`` labels a column, however
+    many values it has. Columns with fewer values are indexed as MLlib would.
+    """
+    return [
+        StringIndexerModel.from_labels(
+            frequent_labels(train, c, most), inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep"
+        )
+        for c in categorical
+    ]
+
+
 def tree_feature_names(numeric: list[str] = NUMERIC, categorical: list[str] = CATEGORICAL) -> list[str]:
     return numeric + [f"{c}_idx" for c in categorical]
 

@@ -20,13 +20,17 @@ def rate_pass(df: DataFrame) -> DataFrame:
     return df.groupBy("merchant_state").agg(F.count(F.lit(1)).alias("n"), F.sum("is_fraud").alias("f"))
 
 
-def join_count(silver: DataFrame, lookup: DataFrame, broadcast: bool) -> DataFrame:
+def places_of(lookup: DataFrame) -> DataFrame:
+    """The lookup's ZIPs, written once, so that a comparison times the join alone."""
+    return materialise(dedupe_lookup(lookup).select("zip", F.col("latitude").alias("lat")))
+
+
+def join_count(silver: DataFrame, places: DataFrame, broadcast: bool) -> DataFrame:
     """Matching rows by ZIP: one side broadcast when its size allows, or a shuffle join.
 
     In the shuffle form the facts are counted per ZIP first. The ZIP of all rows without one
     can be a third of the table; counted, it is one row and cannot crowd a task.
     """
-    places = materialise(dedupe_lookup(lookup).select("zip", F.col("latitude").alias("lat")))
     if broadcast and fits_broadcast(places):
         joined = silver.select("zip", "amount_abs").join(F.broadcast(places), "zip")
         return joined.agg(F.count(F.lit(1)).alias("matched_rows"))
@@ -35,9 +39,8 @@ def join_count(silver: DataFrame, lookup: DataFrame, broadcast: bool) -> DataFra
     return joined.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("matched_rows"))
 
 
-def row_shuffle_join(silver: DataFrame, lookup: DataFrame) -> DataFrame:
+def row_shuffle_join(silver: DataFrame, places: DataFrame) -> DataFrame:
     """Every fact row through a sort-merge join; adaptive execution splits an oversized ZIP."""
-    places = dedupe_lookup(lookup).select("zip", F.col("latitude").alias("lat"))
     joined = silver.select("zip", "amount_abs").join(places.hint("merge"), "zip")
     return joined.agg(F.count(F.lit(1)).alias("matched_rows"))
 
@@ -65,31 +68,36 @@ def timing_table(spark: SparkSession, runs: dict[str, Callable[[], DataFrame]])
     return spark.createDataFrame(rows, "label string, seconds double, speedup double")
 
 
+def comparisons(
+    silver: DataFrame, slim: DataFrame, lookup: DataFrame, year: int = COMPARED_YEAR, hour: int = COMPARED_HOUR
+) -> dict[str, dict[str, Callable[[], DataFrame]]]:
+    """The runs of all three comparisons. Hints fix the join strategies; adaptive execution stays on."""
+    places = places_of(lookup)
+    return {
+        "caching": {
+            "uncached_first": lambda: rate_pass(silver),
+            "uncached_again": lambda: rate_pass(silver),
+            "cached_first": lambda: rate_pass(slim),
+            "cached_again": lambda: rate_pass(slim),
+        },
+        "join_strategy": {
+            "shuffle": lambda: row_shuffle_join(silver, places),
+            "broadcast": lambda: join_count(silver, places, broadcast=True),
+        },
+        "partition_pruning": {
+            "full_scan": lambda: hour_count(silver, hour),
+            "pruned": lambda: year_count(silver, year),
+        },
+    }
+
+
 def compare_layouts(silver: DataFrame, lookup: DataFrame, year: int = COMPARED_YEAR, hour: int = COMPARED_HOUR) -> DataFrame:
-    """All three comparisons; ``silver`` must be read from its partitioned files."""
-    spark = silver.sparkSession
+    """All three comparisons timed; ``silver`` must be read from its partitioned files."""
     slim = silver.select("merchant_state", "is_fraud").persist()
     try:
-        # Hints fix the join strategies; adaptive execution stays on to split an oversized ZIP.
-        tables = {
-            "caching": {
-                "uncached_first": lambda: rate_pass(silver),
-                "uncached_again": lambda: rate_pass(silver),
-                "cached_first": lambda: rate_pass(slim),
-                "cached_again": lambda: rate_pass(slim),
-            },
-            "join_strategy": {
-                "shuffle": lambda: row_shuffle_join(silver, lookup),
-                "broadcast": lambda: join_count(silver, lookup, broadcast=True),
-            },
-            "partition_pruning": {
-                "full_scan": lambda: hour_count(silver, hour),
-                "pruned": lambda: year_count(silver, year),
-            },
-        }
         parts = [
-            timing_table(spark, runs).select(F.lit(name).alias("comparison"), "*")
-            for name, runs in tables.items()
+            timing_table(silver.sparkSession, runs).select(F.lit(name).alias("comparison"), "*")
+            for name, runs in comparisons(silver, slim, lookup, year, hour).items()
         ]
     finally:
         slim.unpersist()

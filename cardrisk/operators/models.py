@@ -46,11 +46,12 @@ def training_frames(
     return features.class_weighted(train, ratio), holdout
 
 
-def fit_indexers(train: DataFrame, categorical: list[str] = features.CATEGORICAL) -> tuple[list, int]:
-    """The fitted label indexers, and the bins a tree needs: one for each label and one for labels not seen."""
-    fitted = [indexer.fit(train) for indexer in features.indexers(categorical)]
-    most = max((len(labels) for indexer in fitted for labels in indexer.labelsArray), default=0)
-    return fitted, max(LEAST_BINS, most + 1)
+def fit_indexers(
+    train: DataFrame, categorical: list[str] = features.CATEGORICAL, most: int = features.MAX_LABELS
+) -> tuple[list, int]:
+    """The label indexes, and the bins a tree needs: one for each label and one for all others."""
+    indexed = features.bounded_indexers(train, categorical, most)
+    return indexed, max([LEAST_BINS, *[len(index.labels) + 1 for index in indexed]])
 
 
 def pipeline(
@@ -77,12 +78,13 @@ def pipeline(
     return Pipeline(stages=[*stages, *prepare, estimator])
 
 
-def model_metrics(name: str, model: PipelineModel, holdout: DataFrame) -> DataFrame:
-    """One row: Spark's areas and the confusion metrics on the holdout."""
-    # Written once: three evaluations follow, and scoring is the costly part.
-    scored = materialise(
-        scoring.score(holdout, model).select(LABEL, "rawPrediction", "prediction", "p")
-    )
+def scored_holdout(model: PipelineModel, holdout: DataFrame) -> DataFrame:
+    """Written once: several evaluations follow, and scoring is the costly part."""
+    return materialise(scoring.score(holdout, model).select(LABEL, "rawPrediction", "prediction", "p"))
+
+
+def model_metrics(name: str, scored: DataFrame) -> DataFrame:
+    """One row: Spark's areas and the confusion metrics of the scored holdout."""
     areas = evaluate.mllib_auc(scored)
     return evaluate.confusion(scored, label=LABEL).select(
         F.lit(name).alias("model"),
@@ -110,7 +112,7 @@ def train_models(
 ) -> tuple[dict[str, PipelineModel], DataFrame | None]:
     """Fits each kind; a kind that fails is reported in the metrics and does not stop the rest.
 
-    ``on_model(name, model, metrics)`` runs after each fit, for saving results as they come.
+    ``on_model(name, model, metrics, scored)`` runs after each fit, for saving results as they come.
     """
     train, holdout = training_frames(silver)
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
@@ -122,18 +124,17 @@ def train_models(
             if kind in set(skip):
                 continue
             name = MODEL_NAMES[kind]
-            started = time.time()
+            started, scored = time.time(), None
             try:
                 models[name] = pipeline(kind, indexed=indexed, **overrides.get(kind, {})).fit(train)
                 seconds = round(time.time() - started, 1)
-                row = materialise(
-                    model_metrics(name, models[name], holdout).withColumn("train_seconds", F.lit(seconds))
-                )
+                scored = scored_holdout(models[name], holdout)
+                row = materialise(model_metrics(name, scored).withColumn("train_seconds", F.lit(seconds)))
             except Exception as error:  # one model's failure must not lose the others
                 row = _failure(silver.sparkSession, name, error, rows)
             rows = row if rows is None else rows.unionByName(row, allowMissingColumns=True)
             if on_model:
-                on_model(name, models.get(name), row)
+                on_model(name, models.get(name), row, scored)
     finally:
         train.unpersist()
         holdout.unpersist()
@@ -178,13 +179,15 @@ def train_serving_model(
     drop: Iterable[str] = (),
     row_id: str | None = None,
     seed: int = 42,
+    report: dict | None = None,
     **overrides,
 ) -> tuple[PipelineModel, DataFrame, list[str]]:
     """Boosted trees on the stratified sample, stopped early on the holdout users.
 
     ``row_id`` names a column unique per row, with which drawing the sample needs no shuffle.
     The bound of the fit: of the sampled train rows at most ``max_train_rows``, drawn by hash, are learned from.
-    Returns the model, the scored holdout rows of the sample and the feature names.
+    Returns the model, the scored holdout rows of the sample and the feature names; ``report``
+    is filled with the rows and positives of both sides and the class ratio.
     """
     columns = [*sampling.SERVING_COLUMNS, *([row_id] if row_id else [])]
     sampled = materialise(
@@ -193,7 +196,12 @@ def train_serving_model(
     filled = sampling.drop_features(sampling.fill_model_input(sampled, features.CATEGORICAL), list(drop))
     train, holdout = sampling.user_split(filled)
     train = sampling.cap_rows(train, max_train_rows, key=F.col(row_id) if row_id else None, seed=seed)
-    ratio = sampling.class_ratio(train).first().class_ratio
+    sides = {name: sampling.class_ratio(side).first() for name, side in (("train", train), ("test", holdout))}
+    ratio = sides["train"].class_ratio
+    if report is not None:
+        for name, side in sides.items():
+            report |= {f"{name}_rows": side.total_rows, f"{name}_fraud": side.positives}
+        report["scale_pos_weight"] = ratio
     both = train.withColumn("is_validation", F.lit(False)).unionByName(
         holdout.withColumn("is_validation", F.lit(True))
     )
@@ -208,3 +216,17 @@ def train_serving_model(
     finally:
         weighted.unpersist()
     return model, scoring.score(holdout, model), features.tree_feature_names(numeric, categorical)
+
+
+def serving_metrics(model: PipelineModel, scored: DataFrame, report: dict) -> DataFrame:
+    """One row: confusion cells and rates, exact areas, Brier score, rounds kept, and the report of the fit."""
+    areas = evaluate.exact_auc(scored, label=LABEL).first()
+    brier = evaluate.brier(scored, label=LABEL).first().brier_score
+    return evaluate.confusion(scored, label=LABEL).select(
+        "*",
+        F.lit(areas.pr_auc).alias("pr_auc"),
+        F.lit(areas.roc_auc).alias("roc_auc"),
+        F.lit(brier).alias("brier_score"),
+        F.lit(model.stages[-1].getNumTrees).alias("rounds_used"),
+        *[F.lit(value).alias(name) for name, value in report.items()],
+    )

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cardrisk.operators.sampling import is_holdout
+from cardrisk.schemas import CORRUPT_COLUMN, RAW_COLUMNS
 
 # ---- fixed values: profile counters ------------------------------------------------------
 FLAG_SUMS = {
@@ -33,21 +35,64 @@ def reconcile(raw: DataFrame, out: DataFrame) -> DataFrame:
     )
 
 
+def distinct_counts(df: DataFrame, columns: dict[str, str], approximate: bool = False) -> DataFrame:
+    """One row: how many values other than null each column has, by the name it is given.
+
+    Integers are marked in bitmaps, one of 32,768 values per bucket and task, whose bits are
+    counted after they are merged; other columns are counted by group. Each column is read by a
+    scan of its own that reads nothing else, so no row is multiplied, as it would be for
+    several exact distinct counts in one aggregation. ``approximate`` sketches all in one pass.
+    """
+    if approximate:
+        return df.agg(*[F.approx_count_distinct(c).alias(name) for name, c in columns.items()])
+    zero = F.lit(None).cast("bigint")
+    parts = []
+    for name, column in columns.items():
+        kind = df.schema[column].dataType
+        if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+            value = F.col(column).cast("bigint")
+            marked = df.filter(value.isNotNull()).groupBy(F.bitmap_bucket_number(value)).agg(
+                F.bitmap_construct_agg(F.bitmap_bit_position(value)).alias("bits"))
+            counted = marked.agg(F.coalesce(F.sum(F.bitmap_count("bits")), F.lit(0)).alias("n"))
+        else:
+            counted = df.filter(F.col(column).isNotNull()).select(column).distinct().agg(F.count(F.lit(1)).alias("n"))
+        parts.append(counted.select(*[F.col("n").cast("bigint").alias(c) if c == name else zero.alias(c) for c in columns]))
+    return _side_by_side(parts)
+
+
+def _side_by_side(parts: list[DataFrame]) -> DataFrame:
+    """One-row frames with the same columns, each with its own filled, as one row."""
+    first, *rest = parts
+    for part in rest:
+        first = first.unionByName(part)
+    return first.agg(*[F.max(c).alias(c) for c in first.columns])
+
+
+def _with_counts(profile: DataFrame, counts: DataFrame) -> DataFrame:
+    """A one-row profile and one row of counts as one row."""
+    absent = {f.name: f.dataType for f in [*profile.schema, *counts.schema]}
+    parts = [
+        part.select(*[F.col(c) if c in part.columns else F.lit(None).cast(kind).alias(c) for c, kind in absent.items()])
+        for part in (profile, counts)
+    ]
+    return _side_by_side(parts)
+
+
 def quality_profile(silver: DataFrame, approximate: bool = False) -> DataFrame:
-    """All counters of the profile from one aggregation.
+    """All counters of the profile from one aggregation, and the distinct counts beside it.
 
-    ``approximate`` counts distinct values with sketches, which avoids the extra shuffle of
-    the exact distinct counts on very large tables.
+    ``approximate`` counts distinct values with sketches.
     """
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
-    return silver.agg(
+    counters = silver.agg(
         *[F.sum(c).alias(name) for name, c in FLAG_SUMS.items()],
         F.avg("amount_abs").alias("mean_amount"),
         F.max("amount_abs").alias("max_amount"),
-        *[distinct(c).alias(name) for name, c in DISTINCTS.items()],
         F.min("year").alias("first_year"),
         F.max("year").alias("last_year"),
     )
+    both = _with_counts(counters, distinct_counts(silver, DISTINCTS, approximate))
+    names = [*FLAG_SUMS, "mean_amount", "max_amount", *DISTINCTS, "first_year", "last_year"]
+    return both.select(*names)
 
 
 def cleanup_checks(silver: DataFrame) -> DataFrame:
@@ -60,8 +105,29 @@ def cleanup_checks(silver: DataFrame) -> DataFrame:
     )
 
 
+def observe_input(raw: DataFrame, seen: Observation) -> DataFrame:
+    """The raw rows as they are, counted while they pass: all, malformed ones, and nulls by column.
+
+    Needs the column of malformed text. The counts are there once an action has read the rows.
+    """
+    return raw.observe(
+        seen,
+        F.count(F.lit(1)).alias("rows_in"),
+        F.count_if(F.col(CORRUPT_COLUMN).isNotNull()).alias("malformed_rows"),
+        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in RAW_COLUMNS],
+    )
+
+
+def with_input_counts(document: DataFrame, counts: dict) -> DataFrame:
+    """The profile with what the write counted of its input."""
+    nulls = F.struct(*[F.lit(counts[f"null_{c}"]).cast("bigint").alias(c) for c in RAW_COLUMNS])
+    return document.withColumns(
+        {"malformed_rows": F.lit(counts["malformed_rows"]).cast("bigint"), "input_nulls": nulls}
+    )
+
+
 def profile_document(silver: DataFrame, rows_in: int, p99: float, source: str, target: str) -> DataFrame:
-    """The whole profile as one nested row, from one pass over the cleaned table."""
+    """The whole profile as one nested row."""
     counters = silver.agg(
         F.count(F.lit(1)).alias("rows_out"),
         F.sum("is_fraud").alias("fraud_rows"),
@@ -86,17 +152,14 @@ def profile_document(silver: DataFrame, rows_in: int, p99: float, source: str, t
             F.sum("is_weekend").alias("weekend"),
             F.sum("error_flag").alias("with_errors"),
         ).alias("derived_flags"),
-        F.struct(
-            F.round(F.avg("amount_abs"), 2).alias("mean_amount"),
-            F.round(F.max("amount_abs"), 2).alias("max_amount"),
-            F.count_distinct("user").alias("distinct_users"),
-            F.count_distinct("merchant_state").alias("distinct_states"),
-            F.count_distinct("mcc").alias("distinct_mcc"),
-            F.array(F.min("year"), F.max("year")).alias("year_range"),
-        ).alias("distributions"),
+        F.round(F.avg("amount_abs"), 2).alias("mean_amount"),
+        F.round(F.max("amount_abs"), 2).alias("max_amount"),
+        F.array(F.min("year"), F.max("year")).alias("year_range"),
     )
+    distinct = {"distinct_users": "user", "distinct_states": "merchant_state", "distinct_mcc": "mcc"}
+    both = _with_counts(counters, distinct_counts(silver, distinct))
     dropped = F.lit(rows_in) - F.col("rows_out")
-    return counters.select(
+    return both.select(
         F.lit(source).alias("input"),
         F.lit(target).alias("output"),
         F.lit(rows_in).cast("bigint").alias("rows_in"),
@@ -109,7 +172,7 @@ def profile_document(silver: DataFrame, rows_in: int, p99: float, source: str, t
         "cleanup_checks",
         "imputation_counts",
         "derived_flags",
-        "distributions",
+        F.struct("mean_amount", "max_amount", *distinct, "year_range").alias("distributions"),
     )
 
 

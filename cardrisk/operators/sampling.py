@@ -7,12 +7,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardrisk.functions.sampling_hash import content_key, digest_fraction, row_digest
-from cardrisk.operators.sizing import running_totals
-from cardrisk.session import materialise
+from cardrisk.operators.sizing import heavy_keys
 
 NEGATIVES_PER_POSITIVE = 60
 HOLDOUT_MODULUS = 5
 COPIES_PER_TASK_ROW = 100_000
+RADIX_DIGITS = 4
 
 # ---- fixed values: the columns of the serving sample -------------------------------------
 SERVING_COLUMNS = [
@@ -34,24 +34,8 @@ def sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
 
 
-def _copy_groups(df: DataFrame, key: Column | None, seed: int) -> DataFrame:
-    """Distinct rows with their number of copies, their digest and its fraction.
-
-    Copies of a row are interchangeable, so only how many of them to keep matters. Grouping
-    first means a row repeated a billion times is one row for everything that follows.
-    """
-    key = content_key(df.columns) if key is None else key
-    digest = row_digest(key, seed)
-    return (
-        df.groupBy(*df.columns)
-        .agg(F.count(F.lit(1)).alias("_copies"))
-        .withColumn("_digest", digest)
-        .withColumn("_u", digest_fraction(F.col("_digest")))
-    )
-
-
 def _expand(groups: DataFrame, columns: list[str]) -> DataFrame:
-    """``_keep`` copies of every group. Large groups are dealt out to many tasks first."""
+    """``_keep`` copies of every row. Large numbers are dealt out to many tasks first."""
     per = COPIES_PER_TASK_ROW
     dealt = (
         groups.filter("_keep > 0")
@@ -64,36 +48,78 @@ def _expand(groups: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def sample_by_hash(df: DataFrame, fraction: float, key: Column | None = None, seed: int = 42) -> DataFrame:
-    """Keeps ``fraction`` of the rows; of ``n`` copies it keeps ``n * fraction``, rounded by hash."""
-    groups = _copy_groups(df, key, seed)
-    keep = F.floor(F.col("_copies") * F.lit(float(fraction)) + F.col("_u"))
-    return _expand(groups.withColumn("_keep", F.least(keep, F.col("_copies"))), df.columns)
+    """Keeps the rows whose digest lies in the first ``fraction`` of all digests: a filter.
 
-
-def take_by_hash(df: DataFrame, n: int, key: Column | None = None, seed: int = 42) -> DataFrame:
-    """Exactly ``n`` rows (all when there are fewer): those that come first in hash order."""
+    Copies share their digest, so they are kept or left out together, except those of a key
+    with more than a thousandth of all rows, found by a sketch: of its ``n`` copies it keeps
+    ``n * fraction``, rounded by hash, since one such key would tip the whole sample.
+    """
     key = content_key(df.columns) if key is None else key
-    groups = materialise(_copy_groups(_first_part(df, n, key, seed), key, seed))
-    ordered = running_totals(groups, "_u", ["_copies"], then_by=["_digest", *df.columns])
-    room = F.lit(int(n)) - (F.col("_copies_upto") - F.col("_copies"))
-    keep = F.greatest(F.lit(0), F.least(F.col("_copies"), room))
-    return _expand(ordered.withColumn("_keep", keep), df.columns)
+    digest = row_digest(key, seed)
+    below = digest_fraction(digest) < fraction
+    heavy = heavy_keys(df.select(digest.alias("digest")), "digest")
+    if not heavy:
+        return df.filter(below)
+    is_heavy = digest.isin(list(heavy))
+    examples = df.filter(is_heavy).groupBy(digest.alias("_digest"), *df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    keep = F.floor(F.col("_copies") * F.lit(float(fraction)) + digest_fraction(F.col("_digest")))
+    kept = _expand(examples.withColumn("_keep", F.least(keep, F.col("_copies"))), df.columns)
+    return df.filter(~is_heavy & below).unionByName(kept)
+
+
+def _boundary(digests: DataFrame, n: int) -> tuple[str | None, int, bool]:
+    """Where the first ``n`` digests end: (prefix, how many of its digests belong, whether that is all of them).
+
+    Radix selection: a histogram over the next leading digits of those digests that share
+    the boundary's prefix so far, at most 65,536 counts a pass. Once no more digests than that
+    are left they are counted one by one. None where all digests belong.
+    """
+    length, prefix, need = None, "", n
+    while True:
+        rest = digests.filter(F.col("digest").startswith(prefix)) if prefix else digests
+        digit = F.substring("digest", len(prefix) + 1, RADIX_DIGITS)
+        found = sorted((r[0], r[1]) for r in rest.groupBy(digit.alias("digit")).agg(F.count(F.lit(1))).collect())
+        if not prefix and sum(c for _, c in found) <= need:
+            return None, 0, True
+        for digits, count in found:
+            if count >= need:
+                break
+            need -= count
+        prefix += digits
+        if count == need:
+            return prefix, need, True
+        if length is None:
+            length = digests.select(F.length("digest")).first()[0]
+        if len(prefix) >= length:
+            return prefix, need, False
+        if count <= 16**RADIX_DIGITS:
+            last = digests.filter(F.col("digest").startswith(prefix))
+            for digest, copies in sorted((r[0], r[1]) for r in last.groupBy("digest").agg(F.count(F.lit(1))).collect()):
+                if copies >= need:
+                    return digest, need, copies == need
+                need -= copies
 
 
-def _first_part(df: DataFrame, n: int, key: Column, seed: int) -> DataFrame:
-    """A leading part of the hash order that holds ``n`` rows or more.
+def take_by_hash(df: DataFrame, n: int, key: Column | None = None, seed: int = 42) -> DataFrame:
+    """Exactly ``n`` rows (all when there are fewer): those that come first in hash order.
 
-    Keeps the shuffle of a small sample small: rows beyond the part cannot be among the first
-    ``n``. Widens until the part is known to be large enough.
+    Rows with one key go by the digest of their whole content. Two narrow scans find the
+    digest at which the sample ends; the sample is then a filter of the table, which is neither
+    shuffled nor written. Only where the boundary falls among copies of one row is that row
+    repeated as often as there is room.
     """
-    fraction = digest_fraction(row_digest(key, seed))
-    share = 2.0 * n / max(df.count(), 1)
-    while share < 0.5:
-        part = df.filter(fraction < share)
-        if part.count() >= n:
-            return part
-        share *= 4
-    return df
+    if n <= 0:
+        return df.limit(0)
+    content = row_digest(content_key(df.columns), seed)
+    digest = content if key is None else F.concat(row_digest(key, seed), content)
+    last, room, whole = _boundary(df.select(digest.alias("digest")), n)
+    if last is None:
+        return df
+    place = F.substring(digest, 1, len(last))
+    if whole:
+        return df.filter(place <= last)
+    copy = df.filter(place == last).limit(1).withColumn("_keep", F.lit(room).cast("long"))
+    return df.filter(place < last).unionByName(_expand(copy, df.columns))
 
 
 def class_counts(df: DataFrame, label: str = "is_fraud") -> DataFrame:
@@ -129,7 +155,7 @@ def stratified_sample(
     """Every positive, and negatives at the fraction that gives the wanted ratio.
 
     When ``key`` is the name of a column unique per row (see ``read_silver(row_id=True)``)
-    the negatives are a plain filter without a shuffle; else copies are handled by count.
+    each row is sampled by itself; else by its content, see ``sample_by_hash``.
     """
     fraction = keep_fraction(df, negatives_per_positive, label)
     positive, negative = F.col(label) == 1, F.col(label) == 0
@@ -233,11 +259,11 @@ def pool_sample(
 ) -> DataFrame:
     """``n`` rows of one side of the split, spread over the whole source by hash order.
 
-    Rows without a readable user or amount cannot be placed and are left out.
+    Rows without a readable user or a finite amount cannot be placed and are left out.
     """
     user = F.col("user").try_cast("double").try_cast("bigint")
     amount = F.regexp_replace(F.trim("amount"), "[$,]", "").try_cast("double")
-    usable = raw.filter(user.isNotNull() & amount.isNotNull())
+    usable = raw.filter(user.isNotNull() & (F.abs(amount) < float("inf")))
     side = is_holdout(user, modulus)
     return take_by_hash(usable.filter(side if holdout else ~side), n, key, seed)
 

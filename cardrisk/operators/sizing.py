@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardrisk.session import materialise
@@ -15,6 +15,7 @@ from cardrisk.session import materialise
 MAX_BROADCAST_ROWS = 500_000
 HOT_SHARE = 0.001
 SALTS = 64
+SKETCHED_PER_KEY = 10
 MAX_SLICES = 1000
 
 
@@ -23,6 +24,37 @@ def fits_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     return dim.count() <= max_rows
 
 
+def heavy_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> dict:
+    """The keys with more than ``share`` of all rows, and how many rows each has; nulls apart.
+
+    One scan with a frequent-items sketch, merged from the tasks, names every candidate (a key
+    beyond the share can't be missed while the sketch tracks some times ``1 / share`` keys),
+    a second counts the candidates, so at most ``1 / share`` keys reach the driver.
+    """
+    most = int(1 / share)
+    top = F.call_function("approx_top_k", F.col(key), F.lit(most), F.lit(SKETCHED_PER_KEY * most))
+    row = df.agg(F.count(F.lit(1)).alias("rows"), top.alias("top")).first()
+    least = row.rows * share
+    # The sketch's counts are estimates from above by no more than its error, one part in what it tracks.
+    slack = row.rows / (SKETCHED_PER_KEY * most * 0.75)
+    candidates = [item.item for item in row.top if item.item is not None and item["count"] > least - slack]
+    if not candidates:
+        return {}
+    counted = df.filter(F.col(key).isin(candidates)).groupBy(key).agg(F.count(F.lit(1)).alias("n")).collect()
+    return {r[0]: r.n for r in counted if r.n > least}
+
+
+def _salt(df: DataFrame, spread: Column) -> DataFrame:
+    """A salt of its own for each of the rows to spread, in turn; all others share one."""
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+    return df.withColumn("_salt", F.when(spread, salt).otherwise(F.lit(-1)))
+
+
+def spread_rows(df: DataFrame, key: str, hot: Sequence) -> DataFrame:
+    """Rows of the hot keys, and those without a key, under many salts."""
+    return _salt(df, F.col(key).isin(list(hot)) | F.col(key).isNull())
+
+
 def left_join_dim(
     df: DataFrame,
     dim: DataFrame,
@@ -32,28 +64,29 @@ def left_join_dim(
 ) -> DataFrame:
     """Left join to a dimension that is unique on ``on``, by broadcast while it is small.
 
-    ``weight`` names the dimension's column holding how many fact rows each key has. When the
-    dimension has outgrown a broadcast it tells the hot keys (at most ``1 / HOT_SHARE`` of
-    them) apart: those are broadcast, and their fact rows are spread over salts for the
-    shuffle that joins all other keys, so no key fills one task.
+    When the dimension has outgrown a broadcast the hot keys (more than ``HOT_SHARE`` of the
+    facts, so at most ``1 / HOT_SHARE`` of them) are told apart: their dimension rows are
+    broadcast, and their fact rows, like those without a key, are spread over salts for the
+    shuffle that joins all other keys, so no key fills one task. ``weight`` names the
+    dimension's column holding how many fact rows each key has; without one a sketch of the
+    facts' keys finds the hot ones, those that the dimension lacks among them.
     """
     if fits_broadcast(dim, max_rows):
         return df.join(F.broadcast(dim), on, "left")
-    if weight is None:
-        return df.join(dim.hint("merge"), on, "left")
-
-    total = dim.agg(F.sum(weight)).first()[0]
-    is_hot = F.col(weight) > total * HOT_SHARE
     payload = [c for c in dim.columns if c != on]
-    hot = dim.filter(is_hot).select(
-        on, F.lit(True).alias("_hot"), *[F.col(c).alias(f"_hot_{c}") for c in payload]
-    )
-    cold = dim.filter(~is_hot).withColumn("_salt", F.lit(0))
-    spread = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
-    salted = df.join(F.broadcast(hot), on, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0))
-    )
-    joined = salted.join(cold.hint("merge"), [on, "_salt"], "left")
+    kept = [F.lit(True).alias("_hot"), *[F.col(c).alias(f"_hot_{c}") for c in payload]]
+    if weight is not None:
+        total = dim.agg(F.sum(weight)).first()[0]
+        is_hot = F.col(weight) > total * HOT_SHARE
+        hot, cold = dim.filter(is_hot).select(on, *kept), dim.filter(~is_hot)
+    else:
+        found = list(heavy_keys(df.select(on), on))
+        keys = df.sparkSession.createDataFrame([(k,) for k in found], dim.select(on).schema)
+        is_hot = F.col(on).isin(found) if found else F.lit(False)
+        hot = keys.join(dim.filter(is_hot), on, "left").select(on, *kept)
+        cold = dim.filter(~is_hot)
+    salted = _salt(df.join(F.broadcast(hot), on, "left"), F.col("_hot") | F.col(on).isNull())
+    joined = salted.join(cold.withColumn("_salt", F.lit(-1)).hint("merge"), [on, "_salt"], "left")
     keep = [c for c in df.columns if c not in payload]
     return joined.select(*keep, *[F.coalesce(f"_hot_{c}", c).alias(c) for c in payload])
 

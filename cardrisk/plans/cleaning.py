@@ -9,10 +9,10 @@ from cardrisk.functions import cleaning as C
 from cardrisk.operators import enrich
 from cardrisk.operators.clean import clean_rows
 from cardrisk.operators.quality import input_manifest
-from cardrisk.plans import tables, views
+from cardrisk.plans import jobs, tables, views
 from cardrisk.plans.registry import query
 from cardrisk.schemas import RAW_COLUMNS, silver_columns
-from cardrisk.session import scratch
+from cardrisk.session import materialise, scratch
 from cardrisk.sources import files
 
 SILVER_SQL_COLUMNS = ", ".join(c for c in silver_columns() if c != "processed_at")
@@ -225,6 +225,34 @@ def zip_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.join_zip(zips, views.zip_coords(spark, sf_dir))
 
 
+@query(
+    "zip_join_salted",
+    ("located",),
+    "SELECT zip, zip_lat AS merchant_lat, zip_lon AS merchant_lon FROM located",
+)
+def zip_join_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same join with a lookup taken to be too large for a broadcast: hot ZIPs are told by a sketch and spread."""
+    zips = views.raw_txn(spark, sf_dir).select(C.clean_zip(F.col("zip")).alias("zip"))
+    return enrich.join_zip(zips, views.zip_coords(spark, sf_dir), max_rows=0)
+
+
+@query(
+    "sketched_threshold",
+    ("raw_txn",),
+    "SELECT count(*) AS rows, true AS within_rank_error FROM raw_txn",
+)
+def sketched_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The outlier threshold from kept sketches of the input files: its rank is off by one in ten thousand at most."""
+    raw = files.read_raw_csv(spark, raw_csv_path(spark, sf_dir))
+    kept = materialise(enrich.sketch_amounts(raw))
+    rows, found = enrich.sketched_quantile(materialise(enrich.refresh_sketches(raw, kept)), 0.99)
+    amount = C.clean_amount(F.col("amount"))
+    below, upto = F.avg((amount < found).cast("double")), F.avg((amount <= found).cast("double"))
+    return raw.agg(
+        F.lit(rows).cast("bigint").alias("rows"), ((below <= 0.99 + 1e-4) & (upto >= 0.99 - 1e-4)).alias("within_rank_error")
+    )
+
+
 @query(
     "haversine_distance",
     ("silver",),
@@ -339,6 +367,30 @@ def malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.malformed_rows(files.read_raw_csv(spark, [whole, short], with_corrupt=True))
 
 
+@query(
+    "preprocess_report",
+    ("raw_txn",),
+    """
+    SELECT count(*) + count(*) FILTER (WHERE card = '0') AS rows_in, count(*) + count(*) FILTER (WHERE card = '0') AS rows_out,
+      'PASS' AS reconciliation, count(*) FILTER (WHERE card = '0') AS malformed_rows,
+      count(*) FILTER (WHERE merchant_state IS NULL) + count(*) FILTER (WHERE merchant_state IS NULL AND card = '0') AS null_states,
+      count(*) FILTER (WHERE zip IS NULL) + count(*) FILTER (WHERE zip IS NULL AND card = '0') AS null_zips
+    FROM raw_txn
+    """,
+)
+def preprocess_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaning job over whole and short lines: what its document says of its input."""
+    malformed_rows(spark, sf_dir)
+    folder, zips = scratch(spark, "preprocess"), scratch(spark, "preprocess-zip")
+    views.zip_coords(spark, sf_dir).write.option("header", True).csv(zips)
+    source = [raw_csv_path(spark, sf_dir), tables.once(spark, sf_dir, "short-csv", lambda: None)]
+    document = jobs.preprocess(spark, source, zips, f"{folder}/silver", sketches=f"{folder}/sketches")
+    return document.select(
+        "rows_in", "rows_out", "reconciliation", "malformed_rows",
+        F.col("input_nulls.merchant_state").alias("null_states"), F.col("input_nulls.zip").alias("null_zips"),
+    )
+
+
 @query(
     "headers_normalised",
     ("raw_txn",),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cardrisk.operators import (
@@ -19,35 +19,49 @@ from cardrisk.operators import (
     sampling,
     scoring,
 )
-from cardrisk.session import materialise
+from cardrisk.schemas import CORRUPT_COLUMN
+from cardrisk.session import materialise, observing_session
 from cardrisk.sources import files, sinks, streams
-from cardrisk.streaming import scorer
+from cardrisk.streaming import liveops, scorer
 
 
 def build_lookup(spark: SparkSession, raw_csv: str, out: str) -> None:
     """ZIP coordinates from the raw transactions' own (zip, state) pairs."""
-    sinks.write_single_csv(enrich.build_zip_lookup(files.read_raw_csv(spark, raw_csv)), out)
+    sinks.write_csv(enrich.build_zip_lookup(files.read_raw_csv(spark, raw_csv)), out)
 
 
 def preprocess(
     spark: SparkSession,
-    raw_csv: str,
+    raw_csv: str | list[str],
     zip_csv: str,
     out: str,
     profile: str | None = None,
     sample: str | None = None,
     sample_rows: int = 20000,
+    sketches: str | None = None,
 ) -> DataFrame:
     """Raw CSV to the cleaned table; returns the one-row reconciliation and profile.
 
-    Two scans of the raw files: one narrow pass for the row count and the outlier threshold,
-    one for the table itself. Everything else is read from the table.
+    Two scans of the raw files: one of the amounts alone for the outlier threshold, one for the
+    table itself, which counts its input, malformed rows and nulls while it is written. The
+    rest is read from the table. With ``sketches``, a folder, the amounts of files that an
+    earlier run has seen are not read again: their quantile sketches are kept there.
     """
-    raw = files.read_raw_csv(spark, raw_csv)
-    rows_in, p99 = enrich.amount_overview(raw)
-    sinks.write_silver(enrich.build_silver(raw, files.read_zip_lookup(spark, zip_csv), p99), out)
+    if sketches:
+        kept = sinks.read_if_there(spark, sketches)
+        found = materialise(enrich.refresh_sketches(files.read_raw_csv(spark, raw_csv), kept))
+        found.write.mode("overwrite").parquet(sketches)
+        _, p99 = enrich.sketched_quantile(found)
+    else:
+        _, p99 = enrich.amount_overview(files.read_raw_csv(spark, raw_csv))
+    seen, own = Observation("preprocess"), observing_session(spark)
+    raw = quality.observe_input(files.read_raw_csv(own, raw_csv, with_corrupt=True), seen).drop(CORRUPT_COLUMN)
+    sinks.write_silver(enrich.build_silver(raw, files.read_zip_lookup(own, zip_csv), p99), out)
+    counts = seen.get
     silver = files.read_silver(spark, out)
-    document = materialise(quality.profile_document(silver, rows_in, p99, raw_csv, out))
+    source = raw_csv if isinstance(raw_csv, str) else ", ".join(raw_csv)
+    profiled = quality.profile_document(silver, counts["rows_in"], p99, source, out)
+    document = materialise(quality.with_input_counts(profiled, counts))
     if profile:
         sinks.write_profile(document, profile)
     if sample:
@@ -58,8 +72,7 @@ def preprocess(
 def raw_rates(spark: SparkSession, raw_csv: str, out: str) -> DataFrame:
     """Fraud rate by state straight from the raw files, with the summary beside it."""
     groups = materialise(rollups.rate_by_state_raw(files.read_raw_csv(spark, raw_csv)))
-    ordered = groups.orderBy(F.desc("total_txns"), "merchant_state")
-    sinks.write_single_csv(ordered, f"{out}/fraud_by_state")
+    sinks.write_single_csv(groups, f"{out}/fraud_by_state", [F.desc("total_txns"), "merchant_state"])
     sinks.write_json(rollups.agg_summary(groups), f"{out}/summary")
     return groups
 
@@ -78,24 +91,26 @@ def train(
     skip: Iterable[str] = (),
     **overrides,
 ) -> DataFrame:
-    """Fits the three models, saving each with its metrics as soon as it is done."""
+    """Fits the three models, saving each with its metrics and threshold sweep as soon as it is done."""
     table = files.read_silver(spark, silver)
     if fraction < 1.0:
         table = sampling.sample(table, fraction)
+    sinks.write_single_json(sampling.split_report(table.select("user", models.LABEL)), f"{out}/split", ["split"])
 
-    def keep(name, model, metrics):
+    def keep(name, model, metrics, scored):
         sinks.write_metrics(metrics, f"{out}/metrics/{name}")
         if model is None:
             return
+        sinks.write_single_json(evaluate.threshold_sweep(scored, label=models.LABEL), f"{out}/threshold_sweep/{name}", ["threshold"])
         sinks.save_model(model, f"{out}/models/{name}")
         if hasattr(model.stages[-1], "featureImportances"):
             names = models.slot_names_of(model)
             top = models.top_features(models.feature_importances(model, spark, names))
-            sinks.write_json(top.coalesce(1), f"{out}/top_features/{name}")
+            sinks.write_single_json(top, f"{out}/top_features/{name}", [F.desc("importance"), "feature"])
 
     _, metrics = models.train_models(table, skip=skip, on_model=keep, **overrides)
     ranked = evaluate.rank_models(metrics)
-    sinks.write_json(ranked.coalesce(1), f"{out}/ranking")
+    sinks.write_single_json(ranked, f"{out}/ranking", [F.desc_nulls_last("pr_auc"), "model"])
     return ranked
 
 
@@ -118,9 +133,14 @@ def export_sample(
 
 
 def train_serving(spark: SparkSession, silver: str, out: str, drop: Iterable[str] = (), **overrides) -> DataFrame:
-    """The explained serving model: fit, metrics, threshold sweep and attributions."""
+    """The explained serving model: fit, metrics, threshold sweep and attributions.
+
+    The metrics hold the confusion row, exact areas, the Brier score, the rounds that early
+    stopping kept, the class ratio of the train side and the rows and positives of both sides.
+    """
     table = files.read_silver(spark, silver, row_id=True)
-    model, scored, names = models.train_serving_model(table, drop=drop, row_id="row_id", **overrides)
+    report = {}
+    model, scored, names = models.train_serving_model(table, drop=drop, row_id="row_id", report=report, **overrides)
     path = f"{out}/model"
     sinks.save_model(model, path)
     scored = materialise(scored.select(*[c for c in scored.columns if c not in ("features", "rawPrediction", "probability")]))
@@ -128,29 +148,58 @@ def train_serving(spark: SparkSession, silver: str, out: str, drop: Iterable[str
     plain = scored.drop(*[c for c in scored.columns if c.endswith("_idx")])
     explained = materialise(explain.tree_contributions(model, path, plain, names, ["user", models.LABEL, "p"]))
     ranked = materialise(explain.global_attribution(explained))
-    sinks.write_json(ranked.coalesce(1), f"{out}/attribution")
+    sinks.write_single_json(ranked, f"{out}/attribution", [F.desc("mean_abs_contribution"), "feature"])
     sinks.write_json(models.synthetic_warning(ranked, "mean_abs_contribution"), f"{out}/warning")
     sinks.write_json(explain.highest_risk_example(explained), f"{out}/example")
-    metrics = evaluate.confusion(scored, label=models.LABEL)
+    metrics = materialise(models.serving_metrics(model, scored, report))
     sinks.write_json(metrics, f"{out}/metrics")
     return metrics
 
 
-def assess(spark: SparkSession, requests_json: str, schema: str, model: str, base_rate: float, out: str) -> None:
-    """Scores a table of sparse requests: calibrated probability, band and verdict of each."""
+def assess(
+    spark: SparkSession, requests_json: str, schema: str, model: str, out: str,
+    base_rate: float = 0.0, aggregates: str | None = None, top: int = 5,
+) -> None:
+    """Scores a table of sparse requests: calibrated probability, band, verdict and strongest drivers of each.
+
+    The base rate is that of the dataset summary in ``aggregates``, unless it is given.
+    """
+    if not base_rate:
+        if aggregates is None:
+            raise ValueError("assess needs base_rate or the folder of the aggregates")
+        base_rate = files.base_rate(spark, aggregates)
     loaded = sinks.load_model(model)
     wanted = [c for c in sampling.SERVING_COLUMNS if c not in ("user", models.LABEL)]
     requests = features.request_features(spark.read.schema(schema).json(requests_json))
     scored = scoring.score(features.fill_missing_features(requests, wanted), loaded)
     kept = [c for c in scored.columns if c in requests.columns] + ["p"]
-    sinks.write_json(scoring.assess(scored.select(*kept), base_rate), out)
+    names = models.slot_names_of(loaded)
+    indexed = [c for c in names if c.endswith("_idx")]
+    plain = scored.select(*[c for c in scored.columns if c not in ("features", "rawPrediction", "probability", *indexed)])
+    explained = explain.tree_contributions(loaded, model, plain, names, kept)
+    answers = scoring.assess(explain.top_drivers(explained, top).drop("contributions", "base_value"), base_rate)
+    sinks.write_json(answers, out)
+
+
+def live_views(spark: SparkSession, verdicts: str, out: str) -> None:
+    """All live views over a folder of verdicts, a scorer's own output or JSON lines, as files."""
+    table = materialise(files.read_written_verdicts(spark, verdicts))
+    tie = "event_id" if "event_id" in table.columns else "user"
+    views = {
+        "kpis": liveops.stream_kpis(table),
+        "risk_histogram": liveops.risk_histogram(table),
+        "throughput": liveops.throughput_by_batch(table),
+        "flag_rate_by_state": liveops.flag_rate_by_state(table),
+        "recent": liveops.recent_verdicts(table, tie=tie),
+        "top_risk": liveops.top_risk(table, tie=tie),
+    }
+    sinks.write_aggregates(views, out, verdicts)
 
 
 def _profiles(spark: SparkSession, silver: str) -> tuple[DataFrame, DataFrame]:
     table = files.read_silver(spark, silver)
-    made = features.user_stats(table), features.mcc_frequency(table)
-    # Cached, because every micro-batch joins them anew.
-    return tuple(materialise(profile).persist() for profile in made)
+    # Written, because every micro-batch reads them anew, and so that their size is known.
+    return materialise(features.user_stats(table)), materialise(features.mcc_frequency(table))
 
 
 def score_files(
@@ -163,8 +212,9 @@ def score_files(
     ``max_files`` bounds a micro-batch; by default a batch takes all new files.
     """
     users, mccs = _profiles(spark, silver)
-    verdicts = scorer.file_verdicts(streams.stream_csv(spark, source, max_files), users, mccs, sinks.load_model(model))
-    scorer.run_bounded(scorer.start_scoring(verdicts, out, checkpoint, trigger), run_seconds)
+    rows = streams.stream_csv(spark, source, max_files)
+    prepare = scorer.file_scorer(users, mccs, sinks.load_model(model))
+    scorer.run_bounded(scorer.start_scoring(rows, out, checkpoint, trigger, prepare=prepare), run_seconds)
     return scorer.written_counters(spark, out)
 
 
@@ -175,11 +225,11 @@ def score_events(
 ) -> DataFrame:
     """Scores a Kafka topic and publishes the verdicts to another; options as in ``score_files``."""
     users, mccs = _profiles(spark, silver)
-    messages = streams.stream_kafka(spark, servers, topic, max_offsets=max_offsets)
-    verdicts = scorer.event_verdicts(messages, users, mccs, sinks.load_model(model))
+    events = streams.decode_events(streams.stream_kafka(spark, servers, topic, max_offsets=max_offsets))
     query = scorer.start_scoring(
-        verdicts, out, checkpoint, trigger, scorer.EVENT_TOP_K,
+        events, out, checkpoint, trigger, scorer.EVENT_TOP_K,
         scorer.kafka_publisher(servers, verdict_topic),
+        scorer.event_scorer(users, mccs, sinks.load_model(model)),
     )
     scorer.run_bounded(query, run_seconds)
     return scorer.written_counters(spark, out)
@@ -187,5 +237,5 @@ def score_events(
 
 def tune(spark: SparkSession, silver: str, zip_csv: str, out: str) -> DataFrame:
     timings = layout.compare_layouts(files.read_silver(spark, silver), files.read_zip_lookup(spark, zip_csv))
-    sinks.write_json(timings.coalesce(1), out)
+    sinks.write_single_json(timings, out, ["comparison", "label"])
     return timings

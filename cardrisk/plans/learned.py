@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cardrisk.operators import evaluate, explain, models, scoring
 from cardrisk.plans import live, tables
 from cardrisk.plans.registry import query
-from cardrisk.session import scratch
+from cardrisk.session import materialise, scratch
 from cardrisk.sources import sinks, streams
 from cardrisk.streaming import scorer
 
@@ -65,16 +65,7 @@ def serving(spark: SparkSession, sf_dir: str, drop: tuple[str, ...] = ()):
 
 def _serving_metrics(spark: SparkSession, sf_dir: str, drop: tuple[str, ...] = ()) -> DataFrame:
     model, scored, _ = serving(spark, sf_dir, drop)
-    rows = scored.withColumn("label", F.col(models.LABEL))
-    areas = evaluate.exact_auc(rows).first()
-    score = evaluate.brier(rows).first().brier_score
-    return evaluate.confusion(rows).select(
-        "*",
-        F.lit(areas.pr_auc).alias("pr_auc"),
-        F.lit(areas.roc_auc).alias("roc_auc"),
-        F.lit(score).alias("brier_score"),
-        F.lit(model.stages[-1].getNumTrees).alias("rounds_used"),
-    )
+    return models.serving_metrics(model, scored, {})
 
 
 @query("serving_model_metrics")
@@ -240,3 +231,109 @@ def stream_model_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = tables.once(spark, sf_dir, "model-stream", build)
     return spark.read.parquet(f"{out}/verdicts").drop("scored_at", "batch_id")
+
+
+# ---- invariants of written model output ------------------------------------------------------------
+
+_FEATURES = ", ".join(f"'{name}'" for name in models.features.tree_feature_names())
+
+
+def contribution_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per holdout row and feature, as a job would write it."""
+
+    def build() -> DataFrame:
+        rows = tree_rows(spark, sf_dir).withColumn("row", F.monotonically_increasing_id())
+        return materialise(rows.select("row", "user", "p", F.inline("contributions")))
+
+    return tables.once(spark, sf_dir, "contribution-table", build)
+
+
+@query(
+    "contribution_rows",
+    ("silver",),
+    f"""
+    SELECT unnest([{_FEATURES}]) AS feature, rows, CAST(0 AS BIGINT) AS missing
+    FROM (SELECT count(*) AS rows FROM silver s WHERE s.user % 5 = 0) h
+    """,
+)
+def contribution_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every holdout row has a contribution of every feature."""
+    return contribution_table(spark, sf_dir).groupBy("feature").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("contribution").isNull() | F.isnan("contribution")).alias("missing"),
+    )
+
+
+@query(
+    "attribution_invariants",
+    ("silver",),
+    f"""
+    SELECT len([{_FEATURES}]) AS features, CAST(0 AS BIGINT) AS mismatched, true AS warning_fits_rank, true AS importances_add_up,
+      15 AS top_listed
+    FROM (SELECT count(*) AS rows FROM silver) s
+    """,
+)
+def attribution_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranked attributions against means over the written contributions, the warning against the ranking, importances against one."""
+    table = contribution_table(spark, sf_dir)
+    ranked = explain.global_attribution(tree_rows(spark, sf_dir))
+    means = table.groupBy("feature").agg(F.avg(F.abs("contribution")).alias("mean"))
+    gaps = ranked.join(means, "feature", "full").agg(
+        F.count(F.lit(1)).cast("int").alias("features"),
+        F.count_if(~F.coalesce(F.abs(F.col("mean") - F.col("mean_abs_contribution")) < 1e-5, F.lit(False))).alias("mismatched"),
+    ).first()
+    first = [r.feature for r in means.orderBy(F.desc(F.round("mean", 6)), "feature").limit(3).collect()]
+    warned = models.synthetic_warning(ranked, "mean_abs_contribution").first().in_top
+    model, _, _ = tables.trained(spark, sf_dir, "gbt")
+    importances = models.feature_importances(model, spark)
+    total = importances.agg(F.sum("importance")).first()[0]
+    return models.top_features(importances).agg(
+        F.lit(gaps.features).alias("features"), F.lit(gaps.mismatched).alias("mismatched"),
+        F.lit(warned == ("vpn_flag" in first)).alias("warning_fits_rank"),
+        F.lit(abs(total - 1) < 1e-4).alias("importances_add_up"), F.count(F.lit(1)).cast("int").alias("top_listed"),
+    )
+
+
+@query("driver_invariants", ("silver",), HELD)
+def driver_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each row's five drivers are its strongest contributions, strongest first, and point the way of their sign."""
+    rows = tree_rows(spark, sf_dir)
+    strength = F.transform("contributions", lambda c: F.abs(F.round(c["contribution"], 6)))
+    strongest = F.slice(F.sort_array(strength, asc=False), 1, 5)
+    shown = F.transform("drivers", lambda d: F.abs(d["contribution"]))
+    signed = F.forall("drivers", lambda d: (d["contribution"] == 0) | (
+        (d["contribution"] > 0) == (d["direction"] == "increases risk")))
+    driven = explain.top_drivers(rows, 5)
+    return driven.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~((strongest == shown) & signed)).alias("mismatched"))
+
+
+@query("sweep_invariants", ("silver",), HELD)
+def sweep_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sweep's flagged rows against written scores, cutoff by cutoff, and the highest example against the top score."""
+    model, _, _ = tables.trained(spark, sf_dir, "gbt")
+    written = materialise(scoring.score(holdout(spark, sf_dir), model).select("p", models.LABEL))
+    swept = evaluate.threshold_sweep(written, label=models.LABEL).collect()
+    counted = written.agg(F.count(F.lit(1)).alias("rows"), F.max("p").alias("top"),
+                          *[F.count_if(F.col("p") >= r.threshold).alias(f"n{i}") for i, r in enumerate(swept)]).first()
+    example = explain.highest_risk_example(tree_rows(spark, sf_dir)).select("p").first()[0]
+    wrong = sum(counted[f"n{i}"] != r.flagged for i, r in enumerate(swept)) + (abs(example - counted.top) > TOLERANCE)
+    return written.agg(F.count(F.lit(1)).alias("rows"), F.lit(int(wrong)).cast("bigint").alias("mismatched"))
+
+
+@query(
+    "serving_invariants",
+    ("silver",),
+    """
+    SELECT count(*) FILTER (WHERE is_fraud = 1) AS positives, true AS areas_in_range, true AS early_stop_in_range
+    FROM silver s WHERE s.user % 5 = 0
+    """,
+)
+def serving_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All positives of the holdout users are judged; areas and Brier score lie in [0, 1], rounds within their limit."""
+    in_range = F.lit(True)
+    for name in ("pr_auc", "roc_auc", "brier_score", "precision", "recall", "f1", "accuracy"):
+        in_range = in_range & F.col(name).between(0, 1)
+    return _serving_metrics(spark, sf_dir).select(
+        (F.col("tp") + F.col("fn")).alias("positives"), in_range.alias("areas_in_range"),
+        F.col("rounds_used").between(1, models.SERVING["maxIter"]).alias("early_stop_in_range"),
+    )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardrisk.operators import scoring
-from cardrisk.operators.features import join_profiles_stream, user_relative_features
+from cardrisk.operators.features import join_profiles_batch, join_profiles_stream, user_relative_features
 from cardrisk.plans import tables, views
 from cardrisk.plans.registry import query, rounded
 from cardrisk.schemas import event_schema, silver_columns, stream_csv_schema
@@ -216,6 +216,142 @@ def stream_static_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "stream_pruned_profiles",
+    ("event_rows", "users", "mccs"),
+    """
+    SELECT event_id, e.user, e.mcc, round(coalesce(user_amount_mean, 0) + 1e-9, 6) AS user_amount_mean,
+      coalesce(user_txn_count, 0) AS user_txn_count, coalesce(mcc_frequency, 0) AS mcc_frequency,
+      round(coalesce(e.amount_abs / (user_amount_mean + 1), 0) + 1e-9, 6) AS amount_vs_user_mean
+    FROM event_rows e LEFT JOIN users u ON e.user = u.user LEFT JOIN mccs m ON e.mcc = m.mcc
+    """,
+)
+def stream_pruned_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles taken to be too large for a broadcast: each batch joins the rows of its own keys."""
+    users, mccs = tables.profiles(spark, sf_dir)
+    out = scratch(spark, "pruned-join")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            joined = user_relative_features(join_profiles_batch(batch, users, mccs, max_rows=0))
+            joined.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+
+    stream = views.event_stream(spark, sf_dir, FILES_PER_BATCH)
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", scratch(spark, "pruned-log"))
+    scorer.run_bounded(writer.trigger(availableNow=True).start())
+    return spark.read.parquet(out).select(
+        "event_id", "user", "mcc", rounded("user_amount_mean"), "user_txn_count", "mcc_frequency",
+        rounded("amount_vs_user_mean"),
+    )
+
+
+# ---- paced and bounded runs ------------------------------------------------------------------
+
+PACED_FILES = 6
+PACED_SECONDS = 6
+
+
+def paced_runs(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """A folder scored one file at a time by two runs: one that the clock ends, one that goes on from there.
+
+    Three files are there for the first run, three more come before the second. A batch that the
+    clock cuts off is taken up again under its own id.
+    """
+
+    def build() -> tuple[str, DataFrame]:
+        folder, out, log = (scratch(spark, f"paced-{part}") for part in ("in", "out", "log"))
+        events = views.event_rows(spark, sf_dir)
+
+        def put(number: int) -> None:
+            events.filter(F.col("event_id") % PACED_FILES == number).coalesce(1).write.mode("append").parquet(folder)
+
+        def run(trigger: str | None, seconds: float | None) -> scorer.RunTotals:
+            stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+            prepare = scorer.event_scorer(*tables.profiles(spark, sf_dir), scoring.rule_score())
+            rows = stream.withColumns({"kafka_partition": F.lit(0), "kafka_offset": F.col("event_id").cast("bigint")})
+            return scorer.run_bounded(scorer.start_scoring(rows, out, log, trigger, prepare=prepare), seconds)
+
+        for number in range(PACED_FILES // 2):
+            put(number)
+        first = run("500 milliseconds", PACED_SECONDS)
+        for number in range(PACED_FILES // 2, PACED_FILES):
+            put(number)
+        second = run(None, None)
+        by_batch = {**first.rows_by_batch, **second.rows_by_batch}
+        reported = spark.createDataFrame(sorted(by_batch.items()), "batch_id long, rows long")
+        return out, reported
+
+    return tables.once(spark, sf_dir, "paced-runs", build)
+
+
+@query(
+    "stream_paced_batches",
+    ("verdicts",),
+    f"""
+    SELECT event_id % {PACED_FILES} AS batch_id, count(*) AS rows, CAST(sum(predicted_fraud) AS BIGINT) AS flagged
+    FROM verdicts GROUP BY 1
+    """,
+)
+def stream_paced_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every micro-batch's own log row: one file each, in the order in which the files came."""
+    out, _ = paced_runs(spark, sf_dir)
+    return spark.read.parquet(f"{out}/metrics").select(F.col("batch_id").cast("bigint"), "rows", "flagged")
+
+
+@query(
+    "stream_progress_rows",
+    ("event_rows",),
+    f"SELECT event_id % {PACED_FILES} AS batch_id, count(*) AS rows FROM event_rows GROUP BY 1",
+)
+def stream_progress_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every micro-batch as the progress reports of both runs said."""
+    return paced_runs(spark, sf_dir)[1]
+
+
+@query(
+    "published_records",
+    ("verdicts",),
+    """
+    SELECT CAST(v.user AS VARCHAR) AS key, event_id, amount, merchant_state, fraud_probability, predicted_fraud, emitted_at
+    FROM verdicts v
+    """,
+)
+def published_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of the outgoing topic, their bodies read as a consumer would."""
+    records = scorer.to_kafka_records(verdict_table(spark, sf_dir).drop("scored_at"))
+    body = F.from_json(
+        "value", "event_id int, user int, amount double, merchant_state string, fraud_probability double, predicted_fraud int, emitted_at string"
+    )
+    return records.select("key", body.alias("v")).select(
+        "key", "v.event_id", "v.amount", "v.merchant_state", "v.fraud_probability", "v.predicted_fraud", "v.emitted_at"
+    )
+
+
+BATCH_TOP = 25
+
+
+@query(
+    "batch_top_files",
+    ("verdicts",),
+    f"""
+    SELECT batch_id, event_id, fraud_probability FROM verdicts
+    QUALIFY row_number() OVER (PARTITION BY batch_id ORDER BY fraud_probability DESC, event_id) <= {BATCH_TOP}
+    """,
+)
+def batch_top_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The riskiest rows of each batch, written as JSON lines by the batch's own action, read back."""
+    folder = scratch(spark, "batch-top")
+    table = verdict_table(spark, sf_dir).select("event_id", "fraud_probability", "predicted_fraud", "batch_id").persist()
+    write = scorer.batch_writer(folder, BATCH_TOP)
+    for batch in range(8):
+        write(table.filter(F.col("batch_id") == batch).drop("batch_id"), batch)
+    table.unpersist()
+    return spark.read.schema("batch_id long, event_id int, fraud_probability double").json(f"{folder}/top/*")
+
+
 # ---- live views ------------------------------------------------------------------------------
 
 

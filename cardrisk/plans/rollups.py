@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from cardrisk.functions.sampling_hash import content_key
 from cardrisk.functions.risk import amount_bucket, amount_bucket_order
-from cardrisk.operators import features, layout, quality, rollups, sampling
+from cardrisk.operators import features, layout, models, quality, rollups, sampling
 from cardrisk.operators.sizing import exact_quantile
-from cardrisk.plans import cleaning, tables, views
+from cardrisk.plans import cleaning, jobs, live, tables, views
 from cardrisk.plans.registry import query, rounded
 from cardrisk.session import materialise, scratch
 from cardrisk.sources import files, sinks
@@ -387,6 +387,58 @@ def aggregate_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first
 
 
+@query(
+    "aggregate_manifest",
+    ("silver",),
+    f"""
+    SELECT file, rows FROM (
+      SELECT 'fraud_by_state' AS file, count(*) AS rows FROM ({_long('a', 'merchant_state')} HAVING count(*) >= 1000) a
+      UNION ALL SELECT 'fraud_by_mcc', count(*) FROM ({_long('a', 'mcc')} HAVING count(*) >= 5000) b
+      UNION ALL SELECT 'fraud_by_hour', count(*) FROM ({_long('a', 's.hour')}) c
+      UNION ALL SELECT 'amount_distribution', count(*) FROM ({_long('a', _BUCKETS)}) d
+      UNION ALL SELECT 'dataset_summary', 1
+      UNION ALL SELECT 'fraud_by_device', (SELECT count(*) FROM ({_long('a', 'device_os')} HAVING count(*) >= 1000) e)
+        + (SELECT count(DISTINCT vpn_flag) + count(DISTINCT is_online) + count(DISTINCT is_night)
+             + count(DISTINCT error_flag) + count(DISTINCT is_foreign_or_unknown) FROM silver)
+    ) u
+    """,
+)
+def aggregate_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every dashboard file as the write counted them, read from the written manifest."""
+    path = scratch(spark, "manifest")
+    sinks.write_aggregates(rollups.dashboard_aggregates(tables.silver(spark, sf_dir)), path, "silver")
+    return files.read_aggregate(spark, path, "index", "file string, rows bigint")
+
+
+@query(
+    "live_view_files",
+    ("verdicts",),
+    """
+    SELECT 'kpis' AS view, CAST(count(*) AS VARCHAR) AS found FROM verdicts
+    UNION ALL SELECT 'risk_histogram', '5'
+    UNION ALL SELECT 'throughput', CAST(count(DISTINCT batch_id) AS VARCHAR) FROM verdicts
+    UNION ALL SELECT 'flag_rate_by_state', CAST(least(12, count(DISTINCT merchant_state)) AS VARCHAR) FROM verdicts
+    UNION ALL SELECT 'recent', CAST(least(25, count(*)) AS VARCHAR) FROM verdicts
+    UNION ALL SELECT 'top_risk', CAST(least(25, count(*)) AS VARCHAR) FROM verdicts
+    """,
+)
+def live_view_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live views' job over a scorer's output folder: how many rows each file has, or how many rows it scored."""
+    folder, out = scratch(spark, "live-in"), scratch(spark, "live-out")
+    live.verdict_table(spark, sf_dir).write.partitionBy("batch_id").parquet(f"{folder}/verdicts")
+    jobs.live_views(spark, folder, out)
+    parts = [
+        files.read_aggregate(spark, out, view, "scored bigint").agg(
+            (F.max("scored") if view == "kpis" else F.count(F.lit(1))).cast("string").alias("found")
+        ).select(F.lit(view).alias("view"), "found")
+        for view in ("kpis", "risk_histogram", "throughput", "flag_rate_by_state", "recent", "top_risk")
+    ]
+    first, *rest = parts
+    for part in rest:
+        first = first.unionByName(part)
+    return first
+
+
 @query(
     "metrics_bundle",
     ("silver",),
@@ -428,17 +480,17 @@ _MATCHED = "SELECT count(*) AS matched_rows FROM silver JOIN (SELECT DISTINCT zi
 
 @query("join_broadcast_count", ("silver", "zip_coords"), _MATCHED)
 def join_broadcast_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layout.join_count(tables.silver(spark, sf_dir), views.zip_coords(spark, sf_dir), broadcast=True)
+    return layout.join_count(tables.silver(spark, sf_dir), layout.places_of(views.zip_coords(spark, sf_dir)), broadcast=True)
 
 
 @query("join_shuffle_count", ("silver", "zip_coords"), _MATCHED)
 def join_shuffle_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layout.row_shuffle_join(tables.silver(spark, sf_dir), views.zip_coords(spark, sf_dir))
+    return layout.row_shuffle_join(tables.silver(spark, sf_dir), layout.places_of(views.zip_coords(spark, sf_dir)))
 
 
 @query("join_counted_shuffle", ("silver", "zip_coords"), _MATCHED)
 def join_counted_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layout.join_count(tables.silver(spark, sf_dir), views.zip_coords(spark, sf_dir), broadcast=False)
+    return layout.join_count(tables.silver(spark, sf_dir), layout.places_of(views.zip_coords(spark, sf_dir)), broadcast=False)
 
 
 @query(
@@ -454,11 +506,38 @@ def cached_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
         slim.unpersist()
 
 
-@query("layout_timings")
+@query(
+    "layout_timings",
+    ("silver", "zip_coords"),
+    f"""
+    SELECT comparison, label, rows FROM (
+      SELECT 'caching' AS comparison, label, count(DISTINCT merchant_state) AS rows
+      FROM silver, (VALUES ('uncached_first'), ('uncached_again'), ('cached_first'), ('cached_again')) t(label) GROUP BY label
+      UNION ALL SELECT 'join_strategy', label, matched_rows
+      FROM ({_MATCHED}) m, (VALUES ('shuffle'), ('broadcast')) t(label)
+      UNION ALL SELECT 'partition_pruning', 'full_scan', count(*) FROM silver s WHERE s.hour = 13
+      UNION ALL SELECT 'partition_pruning', 'pruned', count(*) FROM silver s WHERE s.year = {YEAR}
+    ) u
+    """,
+)
 def layout_timings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layout.compare_layouts(
-        tables.silver(spark, sf_dir), views.zip_coords(spark, sf_dir), year=YEAR
-    )
+    """What each of the compared runs finds; ``python -m cardrisk tune`` takes their times."""
+    silver = tables.silver(spark, sf_dir)
+    slim = silver.select("merchant_state", "is_fraud").persist()
+    try:
+        parts = []
+        for comparison, runs in layout.comparisons(silver, slim, views.zip_coords(spark, sf_dir), year=YEAR).items():
+            for label, make in runs.items():
+                found = make()
+                rows = F.count(F.lit(1)) if comparison == "caching" else F.max(found.columns[0])
+                parts.append(found.agg(rows.cast("bigint").alias("rows")).select(
+                    F.lit(comparison).alias("comparison"), F.lit(label).alias("label"), "rows"))
+        first, *rest = parts
+        for part in rest:
+            first = first.unionByName(part)
+        return materialise(first)
+    finally:
+        slim.unpersist()
 
 
 # ---- profiles and splits -------------------------------------------------------------------
@@ -566,15 +645,18 @@ def silver_key() -> Column:
     return F.concat(content_key(SILVER_KEY), F.lit("|"), F.expr(_CENTS).cast("string"))
 
 
+# Copies of a row go together, but for keys with more than a thousandth of the negatives.
 STRATIFIED = f"""
 picked AS (
   SELECT t.*, count(*) OVER (PARTITION BY {', '.join('t.' + c for c in sampling.SERVING_COLUMNS)}, k) AS copies,
     row_number() OVER (PARTITION BY {', '.join('t.' + c for c in sampling.SERVING_COLUMNS)}, k) AS copy,
+    count(*) OVER (PARTITION BY k) > 0.001e0 * (SELECT count(*) FILTER (WHERE is_fraud = 0) FROM silver) AS heavy,
+    (SELECT least(1e0, sum(is_fraud) * 60e0 / greatest(count(*) - sum(is_fraud), 1)) FROM silver) AS fraction,
     {_sql_u("md5(k || '#42')")} AS u
   FROM (SELECT t.*, {_sql_key(SILVER_KEY, _CENTS)} AS k FROM silver t) t
 ), sampled AS (
-  SELECT * FROM picked WHERE is_fraud = 1 OR copy <= floor(copies * least(1e0,
-    (SELECT sum(is_fraud) * 60e0 / greatest(count(*) - sum(is_fraud), 1) FROM silver)) + u)
+  SELECT * FROM picked
+  WHERE is_fraud = 1 OR CASE WHEN heavy THEN copy <= floor(copies * fraction + u) ELSE u < fraction END
 )
 """
 
@@ -674,6 +756,50 @@ def csv_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_raw_csv(spark, path)
 
 
+@query(
+    "bernoulli_invariants",
+    ("silver",),
+    """
+    SELECT count(*) AS rows, CAST(0 AS BIGINT) AS beyond_table, CAST(0 AS BIGINT) AS differ_on_rerun, true AS size_is_likely
+    FROM silver
+    """,
+)
+def bernoulli_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the rows: none that the table lacks, the same ones again, and about as many as drawn."""
+    table = tables.silver(spark, sf_dir).drop("processed_at")
+    columns = [F.col(c) for c in table.columns]
+    sides = {"table": table, "first": sampling.sample(table, 0.1), "again": sampling.sample(table, 0.1)}
+    parts = [
+        side.select(F.xxhash64(*columns).alias("row"), *[F.lit(int(name == other)).alias(other) for other in sides])
+        for name, side in sides.items()
+    ]
+    both = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    by_row = both.groupBy("row").agg(*[F.sum(name).alias(name) for name in sides])
+    rows, drawn = F.sum("table"), F.sum("first")
+    return by_row.agg(
+        rows.alias("rows"),
+        F.sum(F.greatest(F.col("first") - F.col("table"), F.lit(0))).alias("beyond_table"),
+        F.sum(F.abs(F.col("first") - F.col("again"))).alias("differ_on_rerun"),
+        # Six standard deviations of a binomial count.
+        (F.abs(drawn - rows * 0.1) < 6 * F.sqrt(rows * 0.09)).alias("size_is_likely"),
+    )
+
+
+@query(
+    "weighted_rows",
+    ("silver",),
+    """
+    SELECT is_fraud, round(CASE WHEN is_fraud = 1 THEN r.ratio ELSE 1e0 END, 6) AS class_weight, count(*) AS rows
+    FROM silver s, (SELECT (count(*) - sum(is_fraud)) / greatest(sum(is_fraud), 1) AS ratio FROM silver t WHERE t.user % 5 <> 0) r
+    WHERE s.user % 5 <> 0 GROUP BY ALL
+    """,
+)
+def weighted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train rows by the weight that a model gives them."""
+    train, _ = models.training_frames(tables.silver(spark, sf_dir), tables.profiles(spark, sf_dir))
+    return train.groupBy("is_fraud", F.round("class_weight", 6).alias("class_weight")).agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query("bernoulli_sample")
 def bernoulli_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.sample(tables.silver(spark, sf_dir), 0.1).drop("processed_at")

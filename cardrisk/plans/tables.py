@@ -75,7 +75,7 @@ def trained(spark: SparkSession, sf_dir: str, kind: str) -> tuple[PipelineModel,
         path = scratch(spark, f"model-{kind}")
         saved = {}
 
-        def keep(name, model, metrics):
+        def keep(name, model, metrics, scored):
             if model is not None:
                 sinks.save_model(model, path)
             saved["metrics"] = metrics

@@ -40,6 +40,20 @@ def setting(spark: SparkSession, key: str, value: str):
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
+def observing_session(spark: SparkSession) -> SparkSession:
+    """A session with the same settings for plans that are observed.
+
+    A session object that has served an observation can't be serialised any more, and MLlib's
+    fitted models hold the session they were fitted in through their training summaries: models
+    fitted in such a session could not be sent to tasks.
+    """
+    other = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and other.conf.isModifiable(key):
+            other.conf.set(key, value)
+    return other
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,7 +78,28 @@ def read_verdicts(spark: SparkSession, path: str, event_form: bool = True) -> Da
 
 
 def read_aggregate(spark: SparkSession, root: str, name: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).json(f"{root}/{name}")
+    """One of the aggregates that ``write_aggregates`` has written; ``index`` is their manifest."""
+    return spark.read.schema(schema).json(f"{root}/file={name}")
+
+
+def base_rate(spark: SparkSession, root: str) -> float:
+    """Share of positives among all transactions, from the dataset summary."""
+    schema = "total_transactions bigint, fraud_transactions bigint"
+    found = read_aggregate(spark, root, "dataset_summary", schema).first()
+    if found is None or not found.total_transactions:
+        raise ValueError(f"no dataset summary in {root}")
+    return found.fraud_transactions / found.total_transactions
+
+
+def read_written_verdicts(spark: SparkSession, path: str) -> DataFrame:
+    """Verdicts as a scorer leaves them: its Parquet folders by batch, or JSON lines."""
+    try:
+        table = spark.read.parquet(f"{path}/verdicts")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return read_verdicts(spark, path)
+    return table.withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
 
 def metrics_bundle(frames: dict[str, DataFrame]) -> DataFrame:

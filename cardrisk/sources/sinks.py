@@ -5,13 +5,14 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardrisk.functions.sampling_hash import content_key
 from cardrisk.operators.sampling import take_by_hash
 from cardrisk.schemas import PARTITION_COLUMNS
-from cardrisk.session import setting
+from cardrisk.session import materialise, setting
 
 
 def write_silver(df: DataFrame, path: str, files: int | None = None, task_bytes: str = "512m") -> None:
@@ -27,11 +28,28 @@ def write_silver(df: DataFrame, path: str, files: int | None = None, task_bytes:
         arranged.write.mode("overwrite").partitionBy(*PARTITION_COLUMNS).parquet(path)
 
 
-def write_single_csv(df: DataFrame, path: str) -> None:
-    """One readable file; meant for results of bounded size."""
+def write_single_csv(df: DataFrame, path: str, order: Sequence[Column | str] = ()) -> None:
+    """One readable file; meant for results of bounded size.
+
+    The rows go to the one writer when they are finished: a mere ``coalesce`` would make it
+    work out the last aggregation as well.
+    """
+    _write_csv(_in_one(df, order), path)
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """A folder of files, for results without a bound."""
+    _write_csv(df, path)
+
+
+def _in_one(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+    gathered = df.repartition(1)
+    return gathered.sortWithinPartitions(*order) if order else gathered
+
+
+def _write_csv(df: DataFrame, path: str) -> None:
     (
-        df.coalesce(1)
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("header", True)
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
@@ -49,34 +67,61 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def write_single_json(df: DataFrame, path: str, order: Sequence[Column | str] = ()) -> None:
+    """One JSON-lines file of a result of bounded size."""
+    write_json(_in_one(df, order), path)
+
+
 def write_aggregates(frames: dict[str, DataFrame], path: str, source: str) -> DataFrame:
-    """One JSON folder per aggregate plus a manifest measured from what was written."""
-    spark = next(iter(frames.values())).sparkSession
+    """All aggregates as JSON lines, a folder each, and a manifest of them.
+
+    The frames become one long result of (file, place, JSON text), worked out by one job. Once
+    finished it is dealt out by file, so every aggregate is one file in its own order, and its
+    rows and bytes are counted from the same result.
+    """
     started = time.time()
-    for name, frame in frames.items():
-        write_json(frame.coalesce(1), f"{path}/{name}")
-    manifest = manifest_of(spark, path, list(frames)).select(
+    long = materialise(long_form(frames))
+    ordered = long.repartition("file").sortWithinPartitions("file", "place")
+    ordered.select("file", "value").write.mode("overwrite").partitionBy("file").text(path)
+    written = {
+        r.file: (r.rows, round(r.bytes / 1024.0, 1))
+        for r in long.groupBy("file").agg(
+            F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("value") + 1).alias("bytes")
+        ).collect()
+    }
+    rows = [(name, *written.get(name, (0, 0.0))) for name in sorted(frames)]
+    manifest = long.sparkSession.createDataFrame(rows, "file string, rows long, size_kb double").select(
         "*",
         F.lit(source).alias("source"),
         F.lit(round(time.time() - started, 1)).alias("elapsed_seconds"),
         F.current_timestamp().alias("generated_at"),
     )
-    write_json(manifest, f"{path}/index")
+    write_single_json(manifest, f"{path}/file=index", ["file"])
     return manifest
 
 
-def manifest_of(spark, path: str, names: Sequence[str]) -> DataFrame:
-    """File list and total size, read from the file metadata."""
-    written = spark.read.text([f"{path}/{name}" for name in names])
-    per_file = written.groupBy(
-        F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("bytes")
-    ).agg(F.count(F.lit(1)).alias("rows"))
-    name = F.element_at(F.split("file_path", "/"), -2)
-    return (
-        per_file.groupBy(name.alias("file"))
-        .agg(F.sum("rows").alias("rows"), F.round(F.sum("bytes") / 1024.0, 1).alias("size_kb"))
-        .orderBy("file")
-    )
+def long_form(frames: dict[str, DataFrame]) -> DataFrame:
+    """Frames of any columns as rows of (file, place in the frame's order, JSON text)."""
+    parts = [
+        frame.select(
+            F.lit(name).alias("file"), F.monotonically_increasing_id().alias("place"), F.to_json(F.struct("*")).alias("value")
+        )
+        for name, frame in frames.items()
+    ]
+    long, *rest = parts
+    for part in rest:
+        long = long.unionByName(part)
+    return long
+
+
+def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    """A table that an earlier run may have written."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def write_profile(profile: DataFrame, path: str) -> None:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
@@ -11,8 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cardrisk.functions import cleaning as C
-from cardrisk.operators.features import join_profiles_stream, user_relative_features
+from cardrisk.operators.features import join_profiles_batch, join_profiles_stream, user_relative_features
 from cardrisk.operators.scoring import score, to_verdicts
+from cardrisk.operators.sizing import MAX_BROADCAST_ROWS
 from cardrisk.sources.streams import decode_events
 
 # ---- fixed values: pace, result sizes and message fields -----------------------------------
@@ -76,6 +79,25 @@ def event_verdicts(messages: DataFrame, users: DataFrame, mccs: DataFrame, score
     return to_verdicts(score(enriched, scorer), event_form=True)
 
 
+def file_scorer(users: DataFrame, mccs: DataFrame, scorer, max_rows: int = MAX_BROADCAST_ROWS) -> Callable[[DataFrame], DataFrame]:
+    """The scoring of one micro-batch of files, for ``start_scoring``; profiles of any size."""
+
+    def prepare(batch: DataFrame) -> DataFrame:
+        return to_verdicts(score(user_relative_features(join_profiles_batch(batch, users, mccs, max_rows)), scorer))
+
+    return prepare
+
+
+def event_scorer(users: DataFrame, mccs: DataFrame, scorer, max_rows: int = MAX_BROADCAST_ROWS) -> Callable[[DataFrame], DataFrame]:
+    """The scoring of one micro-batch of decoded events, for ``start_scoring``; profiles of any size."""
+
+    def prepare(batch: DataFrame) -> DataFrame:
+        enriched = user_relative_features(join_profiles_batch(batch, users, mccs, max_rows))
+        return to_verdicts(score(enriched, scorer), event_form=True)
+
+    return prepare
+
+
 def batch_top_k(verdicts: DataFrame, k: int, batch_id: int) -> DataFrame:
     """The batch's riskiest rows; all columns break ties, so a replay picks the same."""
     ordered = verdicts.orderBy(F.desc("fraud_probability"), *verdicts.columns)
@@ -110,14 +132,30 @@ def written_counters(spark: SparkSession, out: str) -> DataFrame:
     return running_counters(metrics)
 
 
-def batch_writer(out: str, k: int, publish: Callable[[DataFrame], None] | None = None):
+def batch_writer(
+    out: str,
+    k: int,
+    publish: Callable[[DataFrame], None] | None = None,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
+):
     """The per-batch action.
 
     Each batch owns the folder of its id and overwrites it, so a batch replayed after a
     failure leaves one copy. Results: ``verdicts`` and ``metrics`` (Parquet), ``top`` (JSON).
+    ``prepare`` turns a batch into verdicts where the stream doesn't carry these already.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if prepare is None:
+            return finish(batch, batch_id)
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if not batch.isEmpty():
+                finish(prepare(batch), batch_id)
+        finally:
+            batch.unpersist()
+
+    def finish(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if batch.isEmpty():
@@ -135,14 +173,13 @@ def batch_writer(out: str, k: int, publish: Callable[[DataFrame], None] | None =
     return write
 
 
+def publish_options(servers: str, topic: str) -> dict[str, str]:
+    return {"kafka.bootstrap.servers": servers, "topic": topic}
+
+
 def kafka_publisher(servers: str, topic: str) -> Callable[[DataFrame], None]:
     def publish(records: DataFrame) -> None:
-        (
-            records.write.format("kafka")
-            .option("kafka.bootstrap.servers", servers)
-            .option("topic", topic)
-            .save()
-        )
+        records.write.format("kafka").options(**publish_options(servers, topic)).save()
 
     return publish
 
@@ -154,11 +191,15 @@ def start_scoring(
     trigger: str | None = FILE_TRIGGER,
     k: int = FILE_TOP_K,
     publish: Callable[[DataFrame], None] | None = None,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
-    """Starts the scorer. ``trigger=None`` takes what is there now and stops."""
+    """Starts the scorer. ``trigger=None`` takes what is there now and stops.
+
+    The stream is one of verdicts, or one of rows that ``prepare`` scores batch by batch.
+    """
     pace = {"processingTime": trigger} if trigger else {"availableNow": True}
     return (
-        verdicts.writeStream.foreachBatch(batch_writer(out, k, publish))
+        verdicts.writeStream.foreachBatch(batch_writer(out, k, publish, prepare))
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(**pace)
@@ -166,9 +207,42 @@ def start_scoring(
     )
 
 
-def run_bounded(query: StreamingQuery, run_seconds: int | None = None) -> None:
-    """Waits for the end or the time limit, then stops; a failed query raises here."""
+@dataclass
+class RunTotals:
+    """What one run of a stream took in, by batch id, as its progress reports said."""
+
+    rows_by_batch: dict[int, int] = field(default_factory=dict)
+
+    def read(self, query: StreamingQuery) -> None:
+        """Takes up the reports since the last time; the session keeps the last hundred."""
+        for report in query.recentProgress:
+            if report["numInputRows"]:
+                self.rows_by_batch[report["batchId"]] = report["numInputRows"]
+
+    @property
+    def batches(self) -> int:
+        return len(self.rows_by_batch)
+
+    @property
+    def rows(self) -> int:
+        return sum(self.rows_by_batch.values())
+
+
+def run_bounded(query: StreamingQuery, run_seconds: float | None = None, poll_seconds: float = 1.0) -> RunTotals:
+    """Waits for the end or the time limit, then stops; a failed query raises here.
+
+    Returns what the run took in. Reports are read every ``poll_seconds``, so that a run of
+    many batches loses none.
+    """
+    totals = RunTotals()
+    ends = None if run_seconds is None else time.monotonic() + run_seconds
     try:
-        query.awaitTermination(run_seconds) if run_seconds else query.awaitTermination()
+        while True:
+            left = poll_seconds if ends is None else min(poll_seconds, ends - time.monotonic())
+            if left <= 0 or query.awaitTermination(left):
+                break
+            totals.read(query)
     finally:
         query.stop()
+    totals.read(query)
+    return totals

@@ -127,8 +127,13 @@ def test_preprocess_job_end_to_end(spark, sf_dir, tmp_path):
     zips = str(tmp_path / "zips")
     sinks.write_single_csv(views.zip_coords(spark, sf_dir), zips)
     out, profile, sample = (str(tmp_path / n) for n in ("silver", "profile", "sample"))
-    document = jobs.preprocess(spark, raw_csv_path(spark, sf_dir), zips, out, profile, sample, 100).first()
+    kept = str(tmp_path / "sketches")
+    document = jobs.preprocess(spark, raw_csv_path(spark, sf_dir), zips, out, profile, sample, 100, kept).first()
     assert document.reconciliation == "PASS" and document.rows_in == 6000
+    assert document.malformed_rows == 0 and document.input_nulls.merchant_state > 0
+    sketched = spark.read.parquet(kept)
+    assert sketched.agg(F.sum("rows")).first()[0] == 6000
+    assert enrich.refresh_sketches(files.read_raw_csv(spark, raw_csv_path(spark, sf_dir)), sketched).count() == sketched.count()
     assert set(document.cleanup_checks) == {0}
     assert spark.read.json(profile).first().rows_out == 6000
     assert spark.read.option("header", True).csv(sample).count() == 100

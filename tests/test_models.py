@@ -1,3 +1,6 @@
+from itertools import combinations
+from math import factorial
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +13,33 @@ NUMERIC = ["a", "b", "c"]
 CATEGORICAL = ["kind"]
 
 
+def brute_force_shares(x, leaves):
+    """Textbook Shapley values over all coalitions."""
+    width = x.shape[1]
+
+    def worth(row, known):
+        total = 0.0
+        for leaf in leaves:
+            weight = leaf["value"]
+            for f, (tests, cover) in leaf["path"].items():
+                if f in known:
+                    weight *= all(explain.passes(row[[f]], kind, cut)[0] == goes_left for kind, cut, goes_left in tests)
+                else:
+                    weight *= cover
+            total += weight
+        return total
+
+    out = np.zeros(x.shape)
+    for r, row in enumerate(x):
+        worths = {known: worth(row, set(known)) for size in range(width + 1) for known in combinations(range(width), size)}
+        for i in range(width):
+            for known, before in worths.items():
+                if i not in known:
+                    weight = factorial(len(known)) * factorial(width - 1 - len(known)) / factorial(width)
+                    out[r, i] += weight * (worths[tuple(sorted((*known, i)))] - before)
+    return out
+
+
 @pytest.fixture(scope="module")
 def planted(spark):
     """Fraud follows a and kind; b and c are noise."""
@@ -68,23 +98,42 @@ def test_tree_contributions_add_up(planted, ensemble):
 
 def test_tree_contributions_against_all_coalitions(spark, planted, ensemble):
     kind, model, path = ensemble
-    leaves = explain.read_leaves(spark, path, margin=kind == "gbt")
+    trees = explain.read_trees(spark, path, margin=kind == "gbt")
     from pyspark.ml import PipelineModel
     from pyspark.ml.functions import vector_to_array
 
     vectors = PipelineModel(stages=model.stages[:-1]).transform(planted.filter("id % 400 = 0"))
     x = np.array([r[0] for r in vectors.select(vector_to_array("features")).collect()])
-    expected = explain.brute_force_shares(x, leaves)
-    assert np.allclose(explain.tree_shares(x, explain._prepare(leaves)), expected, atol=1e-12)
+    expected = brute_force_shares(x, explain.leaves_of(trees))
+    assert np.allclose(explain.tree_shares(x, trees), expected, atol=1e-12)
 
 
-def test_long_paths_take_the_other_way(monkeypatch, spark, planted, ensemble):
+@pytest.mark.parametrize("height", [0, 1, 3, 30])
+def test_parts_of_any_height_give_the_same(monkeypatch, spark, ensemble, height):
     kind, _, path = ensemble
-    leaves = explain.read_leaves(spark, path, margin=kind == "gbt")
+    trees = explain.read_trees(spark, path, margin=kind == "gbt")
     x = np.random.default_rng(5).random((50, 4)) * [1, 1, 13, 5]
-    with_tables = explain.tree_shares(x, explain._prepare(leaves))
-    monkeypatch.setattr(explain, "TABLE_FEATURES", 0)
-    assert np.allclose(explain.tree_shares(x, explain._prepare(leaves)), with_tables, atol=1e-12)
+    expected = explain.tree_shares(x, trees)
+    monkeypatch.setattr(explain, "PART_HEIGHT", height)
+    assert np.allclose(explain.tree_shares(x, trees), expected, atol=1e-12)
+
+
+def test_deep_trees_equal_brute_force():
+    """A path longer than any table of outcomes could hold, with features tested again below."""
+    edges, tests = [], []
+    for level in range(24):
+        feature = level % 9
+        tests.append((feature, False, (0.9 - 0.03 * level,)))
+        parent, ancestor = 2 * (level - 1), 2 * (level - 9) if level >= 9 else -1
+        for goes_left in (True, False):
+            own = 0.8 if goes_left else 0.2
+            share = own * (edges[ancestor][5] if ancestor >= 0 else 1.0)
+            leaf = None if goes_left and level < 23 else float(level + 1)
+            edges.append((parent if level else -1, ancestor, feature, level, goes_left, share, leaf))
+    tree = explain.Tree(tests, edges, 0.0, 24)
+    x = np.random.default_rng(3).random((4, 9)) * 0.8
+    assert np.allclose(explain.tree_shares(x, [tree]), brute_force_shares(x, explain.leaves_of([tree])), atol=1e-10)
+    assert explain.tree_shares(np.zeros((0, 9)), [tree]).shape == (0, 9)
 
 
 def test_linear_contributions_add_up(planted):
@@ -112,7 +161,7 @@ def test_drivers(spark):
 def test_one_failing_model_does_not_stop_the_rest(spark, silver):
     seen = []
     fitted, rows = models.train_models(
-        silver, kinds=["rf", "lr"], on_model=lambda name, model, metrics: seen.append((name, model is None)),
+        silver, kinds=["rf", "lr"], on_model=lambda name, model, metrics, scored: seen.append((name, model is None)),
         rf={"maxBins": 2}, lr={"maxIter": 2},
     )
     got = {r.model: r for r in rows.collect()}
@@ -165,6 +214,32 @@ def test_tree_bins_follow_the_labels(spark):
         assert models.pipeline(kind, indexed=indexed).getStages()[-1].getMaxBins() == 1001
 
 
+def test_wide_categoricals_are_bounded(spark):
+    """100,000 states: the driver, the model and a tree's bins hold a thousand labels and one for all others."""
+    from cardrisk.operators import features, models
+
+    rows = spark.range(0, 200_000, numPartitions=8).select(
+        F.when(F.col("id") % 2 == 0, F.concat(F.lit("S"), F.col("id") % 100)).otherwise(F.concat(F.lit("T"), "id")).alias("merchant_state"),
+        F.lit("a").alias("error_type"), F.lit("b").alias("device_os"), F.lit(None).cast("string").alias("use_chip"),
+        F.rand(3).alias("amount_abs"), (F.col("id") % 7 == 0).cast("int").alias("is_fraud"), F.lit(1.0).alias("class_weight"),
+    )
+    assert rows.select("merchant_state").distinct().count() > 100_000
+    index, bins = models.fit_indexers(rows, features.CATEGORICAL)
+    assert bins == 1001 and [len(x.labels) for x in index] == [0, 1000, 1, 1]
+    assert set(index[1].labels[:50]) == {f"S{i}" for i in range(0, 100, 2)}
+    seen = index[1].transform(rows)
+    assert seen.filter("merchant_state_idx = 1000").count() == 100_000 - 950
+    fitted = models.pipeline("rf", ["amount_abs"], features.CATEGORICAL, (index, bins), numTrees=1, maxDepth=2).fit(rows)
+    assert fitted.transform(rows.limit(5)).count() == 5
+
+
+def test_narrow_categoricals_are_indexed_as_before(spark, silver):
+    from cardrisk.operators import features
+
+    ours, theirs = features.bounded_indexers(silver), features.indexers()[0].fit(silver)
+    assert [tuple(index.labels) for index in ours] == [tuple(labels) for labels in theirs.labelsArray]
+
+
 def test_requests_without_an_amount_are_refused(spark):
     from cardrisk.operators import features
 

@@ -33,6 +33,44 @@ def test_copies_are_sampled_by_count(skewed):
     assert 300 < kept.count() - hot < 500
 
 
+def test_light_copies_go_together(spark):
+    rows = spark.range(4000).select((F.col("id") % 2000).alias("user"), F.lit(0).alias("is_fraud"))
+    kept = sampling.sample_by_hash(rows, 0.3)
+    assert kept.groupBy("user").count().filter("count <> 2").isEmpty() and 1000 < kept.count() < 1400
+
+
+def test_boundary_among_copies_and_ties_of_a_key(spark):
+    rows = spark.range(600).select((F.col("id") % 3).alias("user"), (F.col("id") % 4).alias("is_fraud"), F.lit("k").alias("key"))
+    for n in (1, 49, 50, 51, 275, 599):
+        taken = sampling.take_by_hash(rows, n, key=F.col("key"))
+        assert taken.count() == n and taken.exceptAll(rows).isEmpty()
+    small, large = (sampling.take_by_hash(rows.repartition(p), n, key=F.col("key")) for p, n in ((3, 120), (7, 240)))
+    assert small.exceptAll(large).isEmpty()
+
+
+def test_first_digests_against_a_sort(spark):
+    rows = spark.range(3000).select(F.md5(F.col("id").cast("string")).alias("digest"))
+    ordered = sorted(r.digest for r in rows.collect())
+    for n in (1, 17, 1500, 2999):
+        last, room, whole = sampling._boundary(rows, n)
+        assert whole and [d for d in ordered if d[: len(last)] <= last] == ordered[:n]
+    assert sampling._boundary(rows, 3000) == (None, 0, True)
+    assert sampling.take_by_hash(rows.limit(0), 5).count() == 0
+
+
+def test_pool_leaves_amounts_that_are_no_number(spark):
+    raw = spark.createDataFrame([("5", "$1.00"), ("5", "NaN"), ("5", "Infinity"), ("5", "-$2"), ("5", "x"), ("x", "1"), ("6", "1")], "user string, amount string")
+    assert sorted(r.amount for r in sampling.pool_sample(raw, 10, holdout=True).collect()) == ["$1.00", "-$2"]
+
+
+def test_heavy_keys_are_all_found(spark):
+    rows = spark.range(50_000).select(F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 == 1, "warm").when(F.col("id") % 7 == 0, None)
+                                      .otherwise(F.concat(F.lit("k"), "id")).alias("key"))
+    want = {r.key: r["count"] for r in rows.filter("key in ('hot', 'warm')").groupBy("key").count().collect()}
+    assert sizing.heavy_keys(rows, "key") == want
+    assert sizing.heavy_keys(rows.limit(0), "key") == {} and sizing.heavy_keys(rows.filter("key is null"), "key") == {}
+
+
 def test_many_copies_are_dealt_out(skewed, monkeypatch):
     monkeypatch.setattr(sampling, "COPIES_PER_TASK_ROW", 64)
     assert sampling.sample_by_hash(skewed, 1.0).groupBy(*skewed.columns).count().exceptAll(
@@ -132,6 +170,10 @@ def test_join_beyond_broadcast_splits_hot_keys(spark):
     small = sizing.left_join_dim(facts, dim, "user", weight="n")
     large = sizing.left_join_dim(facts, dim, "user", weight="n", max_rows=10)
     unweighted = sizing.left_join_dim(facts, dim, "user", max_rows=10)
+    absent = sizing.left_join_dim(facts, dim.filter("user <> -1"), "user", max_rows=10)
+    assert absent.count() == 3000 and absent.filter("user = -1 and n is not null").isEmpty()
+    nulls = facts.withColumn("user", F.when(F.col("id") % 2 == 0, F.col("user")))
+    assert sizing.left_join_dim(nulls, dim, "user", max_rows=10).count() == 3000
     columns = ["id", "user", "n", "top"]
     assert rows_of(large.select(*columns)) == rows_of(small.select(*columns))
     assert rows_of(unweighted.select(*columns)) == rows_of(small.select(*columns))

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,6 +49,53 @@ def test_stream_equals_batch(spark, silver, csv_folder, profiles, tmp_path):
     assert top.groupBy("batch_id").count().filter("count <> 25").isEmpty() and top.count() == 100
 
 
+def test_profiles_of_any_size_score_alike(spark, silver, csv_folder, profiles, tmp_path):
+    """Profiles taken as too large for a broadcast, cut down to each batch's keys."""
+    out = str(tmp_path / "out")
+    rows = streams.stream_csv(spark, csv_folder, 1)
+    prepare = scorer.file_scorer(*profiles, scoring.rule_score(), max_rows=0)
+    totals = scorer.run_bounded(scorer.start_scoring(rows, out, str(tmp_path / "log"), trigger=None, prepare=prepare))
+    got = spark.read.parquet(f"{out}/verdicts")
+    assert rows_of(got.drop("scored_at", "batch_id")) == rows_of(expected_verdicts(silver))
+    assert (totals.batches, totals.rows) == (4, silver.count())
+
+
+def test_more_keys_than_a_broadcast_holds(spark, silver, profiles, monkeypatch):
+    monkeypatch.setattr(features, "MAX_BROADCAST_ROWS", 5)
+    small = features.join_profiles_batch(silver.select("user", "mcc", "amount_abs"), *profiles, max_rows=5)
+    monkeypatch.setattr(features, "MAX_BROADCAST_ROWS", 500_000)
+    whole = features.join_profiles_batch(silver.select("user", "mcc", "amount_abs"), *profiles)
+    assert rows_of(small.select(*whole.columns)) == rows_of(whole)
+
+
+def test_the_clock_ends_a_paced_run(spark, csv_folder, profiles, tmp_path):
+    out, started = str(tmp_path / "out"), time.monotonic()
+    query = scorer.start_scoring(scored_stream(spark, csv_folder, profiles), out, str(tmp_path / "log"), trigger="1 second")
+    totals = scorer.run_bounded(query, run_seconds=6, poll_seconds=0.5)
+    assert 5 < time.monotonic() - started < 60 and not query.isActive
+    written = scorer.written_counters(spark, out).first()
+    assert totals.batches <= written.batches <= 4
+
+
+def test_connector_is_told_what_the_caller_wants():
+    assert streams.kafka_options("a:1,b:2", "txn", max_offsets=200) == {
+        "kafka.bootstrap.servers": "a:1,b:2", "subscribe": "txn", "startingOffsets": "latest", "failOnDataLoss": "false",
+        "maxOffsetsPerTrigger": "200",
+    }
+    assert "maxOffsetsPerTrigger" not in streams.kafka_options("a:1", "txn")
+    assert scorer.publish_options("a:1", "verdicts") == {"kafka.bootstrap.servers": "a:1", "topic": "verdicts"}
+
+
+def test_every_record_has_a_key_and_a_readable_body(spark, silver):
+    verdicts = scoring.to_verdicts(scoring.score(silver, scoring.rule_score()))
+    records = scorer.to_kafka_records(verdicts)
+    assert dict(records.dtypes) == {"key": "string", "value": "string"}
+    fields = ", ".join(f"{n} {t}" for n, t in verdicts.dtypes)
+    back = records.select("key", F.from_json("value", fields).alias("v"))
+    assert back.filter("v.user IS NULL OR key <> CAST(v.user AS STRING)").isEmpty()
+    assert back.count() == silver.count()
+
+
 def test_restart_continues_and_replay_overwrites(spark, silver, csv_folder, profiles, tmp_path):
     """A sink that fails once after writing: the replayed batch must not leave its rows twice."""
     out, log = str(tmp_path / "out"), str(tmp_path / "log")
