@@ -279,7 +279,7 @@ def attribution_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranked = explain.global_attribution(tree_rows(spark, sf_dir))
     means = table.groupBy("feature").agg(F.avg(F.abs("contribution")).alias("mean"))
     gaps = ranked.join(means, "feature", "full").agg(
-        F.count(F.lit(1)).cast("int").alias("features"),
+        F.count(F.lit(1)).alias("features"),
         F.count_if(~F.coalesce(F.abs(F.col("mean") - F.col("mean_abs_contribution")) < 1e-5, F.lit(False))).alias("mismatched"),
     ).first()
     first = [r.feature for r in means.orderBy(F.desc(F.round("mean", 6)), "feature").limit(3).collect()]
@@ -288,7 +288,7 @@ def attribution_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
     importances = models.feature_importances(model, spark)
     total = importances.agg(F.sum("importance")).first()[0]
     return models.top_features(importances).agg(
-        F.lit(gaps.features).alias("features"), F.lit(gaps.mismatched).alias("mismatched"),
+        F.lit(gaps.features).cast("bigint").alias("features"), F.lit(gaps.mismatched).cast("bigint").alias("mismatched"),
         F.lit(warned == ("vpn_flag" in first)).alias("warning_fits_rank"),
         F.lit(abs(total - 1) < 1e-4).alias("importances_add_up"), F.count(F.lit(1)).cast("int").alias("top_listed"),
     )

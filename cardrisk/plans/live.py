@@ -291,7 +291,7 @@ def paced_runs(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     "stream_paced_batches",
     ("verdicts",),
     f"""
-    SELECT event_id % {PACED_FILES} AS batch_id, count(*) AS rows, CAST(sum(predicted_fraud) AS BIGINT) AS flagged
+    SELECT CAST(event_id % {PACED_FILES} AS BIGINT) AS batch_id, count(*) AS rows, CAST(sum(predicted_fraud) AS BIGINT) AS flagged
     FROM verdicts GROUP BY 1
     """,
 )
@@ -304,7 +304,7 @@ def stream_paced_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "stream_progress_rows",
     ("event_rows",),
-    f"SELECT event_id % {PACED_FILES} AS batch_id, count(*) AS rows FROM event_rows GROUP BY 1",
+    f"SELECT CAST(event_id % {PACED_FILES} AS BIGINT) AS batch_id, count(*) AS rows FROM event_rows GROUP BY 1",
 )
 def stream_progress_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of every micro-batch as the progress reports of both runs said."""

@@ -84,4 +84,25 @@ def materialise(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, "table")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    _written[id(written)] = (written, path)
+    return written
+
+
+# Tables that materialise has written and discard may delete, with their folders.
+_written: dict[int, tuple[DataFrame, str]] = {}
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes the folders of written tables.
+
+    Only once everything that was read from them is itself written: a lost task that needs
+    them again would fail. Frames that ``materialise`` has not returned are left alone.
+    """
+    for frame in frames:
+        known, path = _written.pop(id(frame), (None, ""))
+        if known is not frame:
+            continue
+        context = frame.sparkSession.sparkContext
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
