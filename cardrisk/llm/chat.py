@@ -65,22 +65,37 @@ def maximal(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
     )
 
 
+def _numbered(rows: DataFrame, part_turns: int) -> DataFrame:
+    """The rows with their place in the conversation, from 0: by turn (nulls first), role and text.
+
+    Rows are counted by stretches of turn numbers first, so that no window holds a whole long conversation.
+    """
+    rows = rows.withColumn("_stretch", F.floor(F.col("turn") / part_turns))
+    counted = rows.groupBy("conv_id", "_stretch").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy("conv_id").orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counted.select(F.col("conv_id").alias("_conv"), F.col("_stretch").alias("_at"),
+                             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("conv_id", "_stretch").orderBy("turn", "role", "text")
+    placed = rows.withColumn("_rank", F.row_number().over(inside))
+    same = F.col("conv_id").eqNullSafe(F.col("_conv")) & F.col("_stretch").eqNullSafe(F.col("_at"))
+    return placed.join(offsets, same).withColumn("place", F.col("_before") + F.col("_rank") - 1).drop("_stretch", "_conv", "_at", "_before", "_rank")
+
+
 def render(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
     """conv_id, part, n_turns, copies and text of each maximal conversation.
 
     A turn becomes ``<|role|>``, a line feed, its text, ``<|end|>`` and a line feed; a null role is ``unknown``, a null
-    text is empty. Turns stand in the order of turn number, role, text. Conversations of up to ``part_turns`` turns are
-    one row; longer ones go on in further parts, so that no row or task has to hold all of one. An empty table gives
-    no rows; other columns are not read.
+    text is empty. Turns stand in the order of turn number (nulls first), role, text; rows repeated exactly are one.
+    Every ``part_turns`` of them, from the first, make a row, so conversations of up to so many are one row, and no row
+    holds more; parts count from 0. An empty table gives no rows; other columns are not read.
     """
     keep = maximal(turns, part_turns).select(F.col("conv_id").alias("_keep"), "n_turns", "copies")
-    kept = _plain(turns).join(keep, F.col("conv_id").eqNullSafe(F.col("_keep")))
+    kept = _plain(turns).distinct().join(keep, F.col("conv_id").eqNullSafe(F.col("_keep")))
     line = lambda x: F.concat(F.lit("<|"), F.coalesce(x["role"], F.lit("unknown")), F.lit("|>\n"),
                               F.coalesce(x["text"], F.lit("")), F.lit("<|end|>\n"))
     return (
-        kept.groupBy("conv_id", _part(F.col("turn"), part_turns).alias("part"))
+        _numbered(kept, part_turns).groupBy("conv_id", F.floor(F.col("place") / part_turns).cast("long").alias("part"))
         .agg(F.max("n_turns").alias("n_turns"), F.max("copies").alias("copies"),
-             F.sort_array(F.collect_set(F.struct("turn", "role", "text"))).alias("turns"))
-        .select("conv_id", F.greatest("part", F.lit(0).cast("long")).alias("part"), "n_turns", "copies",
-                F.array_join(F.transform("turns", line), "").alias("text"))
+             F.sort_array(F.collect_list(F.struct("place", "role", "text"))).alias("turns"))
+        .select("conv_id", "part", "n_turns", "copies", F.array_join(F.transform("turns", line), "").alias("text"))
     )

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,3 +88,17 @@ def piece_digest(pieces: DataFrame) -> DataFrame:
     """The pieces with the checksum of their ids in place of the ids."""
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
                          "offset")
+
+
+def write_buckets(pieces: DataFrame, path: str) -> None:
+    """The pieces in a folder for each length, from which batches of equal shape are drawn without padding.
+
+    Pieces are dealt out by length and document, so a length's pieces, however many, are written by many tasks.
+    """
+    spread = F.pmod(F.xxhash64("doc_id", "start"), F.lit(64))
+    pieces.hint("rebalance", F.col("length"), spread).write.mode("overwrite").partitionBy("length").parquet(path)
+
+
+def read_bucket(spark: SparkSession, path: str, length: int) -> DataFrame:
+    """All pieces of one length; no other folder is read."""
+    return spark.read.parquet(path).filter(F.col("length") == length)

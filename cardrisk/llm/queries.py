@@ -164,9 +164,11 @@ k AS (
   FROM p WHERE n = n_all AND prefix NOT IN (SELECT prefix FROM p WHERE n < n_all)
   GROUP BY prefix
 )
-SELECT k.conv_id, CAST(floor(d.turn / 256) AS BIGINT) AS part, k.n_turns, k.copies,
-  string_agg('<|' || d.role || '|>' || chr(10) || d.text || '<|end|>' || chr(10), '' ORDER BY d.turn, d.role, d.text) AS text
-FROM k JOIN d USING (conv_id) GROUP BY ALL
+SELECT k.conv_id, CAST((n.at - 1) // 256 AS BIGINT) AS part, k.n_turns, k.copies,
+  string_agg('<|' || n.role || '|>' || chr(10) || n.text || '<|end|>' || chr(10), '' ORDER BY n.at) AS text
+FROM k JOIN (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS at FROM d
+) n USING (conv_id) GROUP BY ALL
 """
 
 URL_SQL = """

@@ -231,6 +231,26 @@ def test_long_conversations_go_on_in_parts(spark):
     assert "".join(r.text for r in rows) == "".join(f"<|user|>\n{i}<|end|>\n" for i in range(600))
 
 
+@pytest.mark.parametrize(("first", "count", "parts"), [(1, 256, 1), (0, 257, 2), (-300, 600, 3), (250, 20, 1)])
+def test_parts_count_rows_and_not_turn_numbers(spark, first, count, parts):
+    schema = "conv_id long, turn long, role string, text string"
+    turns = spark.createDataFrame([(1, first + i, "user", str(i)) for i in range(count)], schema)
+    rows = sorted(chat.render(turns).collect(), key=lambda r: r.part)
+    assert [r.part for r in rows] == list(range(parts))
+    assert "".join(r.text for r in rows) == "".join(f"<|user|>\n{i}<|end|>\n" for i in range(count))
+
+
+def test_null_and_shared_turns_stand_in_one_order(spark):
+    schema = "conv_id long, turn long, role string, text string"
+    rows = [(1, 0, "user", "b"), (1, None, "user", "a"), (1, 1, "assistant", "d"), (1, 0, "user", "c"), (1, None, None, "z"), (1, -5, "user", "neg"), (1, 0, "user", "b")]
+    got = chat.render(spark.createDataFrame(rows, schema)).collect()
+    assert [(r.conv_id, r.part, r.n_turns) for r in got] == [(1, 0, 6)]
+    assert got[0].text == "<|unknown|>\nz<|end|>\n<|user|>\na<|end|>\n<|user|>\nneg<|end|>\n<|user|>\nb<|end|>\n<|user|>\nc<|end|>\n<|assistant|>\nd<|end|>\n"
+    many = spark.createDataFrame([(2, 0, "user", f"{i:04}") for i in range(600)], schema)
+    parts = sorted(chat.render(many).collect(), key=lambda r: r.part)
+    assert [(r.part, r.text.count("<|user|>")) for r in parts] == [(0, 256), (1, 256), (2, 88)]
+
+
 def test_url_rules_and_list(spark):
     cases = [("http://a.org/x", "allow", "org/"), ("http://www.EXAMPLE.org/es/1", "block", "example.org/es/"), ("https://example.org/en/17?q", "block", "example.org/en/1"),
              ("http://x.com/fr/1", "allow", "com/fr/"), ("http://x.com/de/", "block", "com/de/"), ("http://org", "allow", None), (None, "allow", None), ("no scheme", "allow", None),

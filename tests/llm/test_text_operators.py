@@ -184,3 +184,17 @@ def test_leaks_odd_rows(spark):
     assert found == {(4, 3)}
     assert decontam.find_leaks(docs, bench.limit(0)).count() == 0
     assert decontam.find_leaks(docs.limit(0), bench).count() == 0
+
+
+def test_pieces_are_bucketed_by_length(spark, sf_dir, tmp_path):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60)
+    pieces = packing.pack(docs, vocabulary("byte_bpe_50k.json"), seq_len=256).cache()
+    path = str(tmp_path / "buckets")
+    packing.write_buckets(pieces, path)
+    want = {r.length: r["count"] for r in pieces.groupBy("length").count().collect()}
+    assert sorted(int(p.name.split("=")[1]) for p in (tmp_path / "buckets").glob("length=*")) == sorted(want)
+    for length, count in want.items():
+        bucket = packing.read_bucket(spark, path, length)
+        assert bucket.count() == count and bucket.filter(F.octet_length("ids") != 4 * length).isEmpty()
+    text = packing.read_bucket(spark, path, 256)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(length" in text
