@@ -95,8 +95,9 @@ def write_buckets(pieces: DataFrame, path: str) -> None:
 
     Pieces are dealt out by length and document, so a length's pieces, however many, are written by many tasks.
     """
-    spread = F.pmod(F.xxhash64("doc_id", "start"), F.lit(64))
-    pieces.hint("rebalance", F.col("length"), spread).write.mode("overwrite").partitionBy("length").parquet(path)
+    spread = pieces.withColumn("_spread", F.pmod(F.xxhash64("doc_id", "start"), F.lit(64)))
+    dealt = spread.hint("rebalance", F.col("length"), F.col("_spread")).drop("_spread")
+    dealt.write.mode("overwrite").partitionBy("length").parquet(path)
 
 
 def read_bucket(spark: SparkSession, path: str, length: int) -> DataFrame:
