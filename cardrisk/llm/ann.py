@@ -4,7 +4,11 @@ A bounded sample of the vectors is halved again and again at the median of its w
 equal size; their means are the centroids. Inner products become distances by one more coordinate that brings every
 vector to one length. A vector goes to its nearest list and, near a boundary, to every other list whose centroid is
 within a ratio of that distance. A query walks a neighbour graph of the centroids, held in memory by each task, and
-reads the lists within its own ratio; the ratio is the smallest that reaches the asked recall on the sample.
+reads the lists within its own ratio; that ratio is the smallest that reaches the asked recall on some queries whose
+exact neighbours among all rows are found first, in one pass.
+
+A query reads its nearest list first, then ever more at a time. After each turn the last score that still counts bounds
+what later lists need to answer, and a list is passed over if its centroid and radius keep all its vectors below that.
 """
 
 from __future__ import annotations
@@ -18,10 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardrisk.session import materialise
+from cardrisk.session import discard, materialise
 
 #: Distinct vectors, or queries, that one task holds of a list at a time.
 BLOCK = 2_048
+#: How many times as many lists each turn of a search has read after it than before.
+TURN = 4
 
 
 @dataclass
@@ -94,9 +100,13 @@ def _halve(x: np.ndarray, rows: np.ndarray, target: int, rng: np.random.Generato
     _halve(x, rows[order[middle:]], target, rng, out)
 
 
-def fit(sample: np.ndarray, rows: int, list_rows: int = 256, most_lists: int = 8_192, copy_ratio: float = 1.05,
-        most_copies: int = 4, recall: float = 0.95, neighbours: int = 16, k: int = 20, norm: float = 1.0, seed: int = 3) -> ListIndex:
-    """An index for ``rows`` vectors from a sample of them; ``norm`` is the greatest norm of all vectors."""
+def fit(sample: np.ndarray, rows: int, list_rows: int = 256, most_lists: int = 2_048, copy_ratio: float = 1.02,
+        most_copies: int = 3, neighbours: int = 16, norm: float = 1.0, seed: int = 3) -> ListIndex:
+    """An index for ``rows`` vectors from a sample of them; ``norm`` is the greatest norm of all vectors.
+
+    Lists have about ``list_rows`` vectors, but at least eight of the sample, and there are about ``most_lists`` at most.
+    Its reading ratio is yet to be set.
+    """
     rng = np.random.default_rng(seed)
     index = ListIndex(np.zeros((1, 1)), np.zeros((1, 0), np.int64), max(norm, 1e-300), copy_ratio, 1.0, most_copies)
     lifted = index.lift(sample)
@@ -112,25 +122,55 @@ def fit(sample: np.ndarray, rows: int, list_rows: int = 256, most_lists: int = 8
     # A ring through all lists keeps the graph in one piece.
     ring = (np.arange(len(parts)) + 1) % len(parts)
     index.graph = np.hstack([near, ring[:, None], np.argsort(ring)[:, None]])
-    index.read_ratio = _ratio(index, sample, lifted, k, recall, rng)
     return index
 
 
-def _ratio(index: ListIndex, sample: np.ndarray, lifted: np.ndarray, k: int, recall: float, rng: np.random.Generator) -> float:
-    """The smallest reading ratio whose recall on queries from the sample, against all of it, is high enough."""
-    place = [set(x.tolist()) for x in index.nearest(lifted, index.copy_ratio, most=index.most_copies)]
-    asked = rng.choice(len(sample), min(len(sample), 200), replace=False)
-    exact = sample[asked] @ sample.T
-    exact[np.arange(len(asked)), asked] = -np.inf
-    wanted = min(k, max(1, len(sample) - 1))
-    best = np.argpartition(-exact, wanted - 1, axis=1)[:, :wanted]
-    queries = index.lift(sample[asked], query=True)
-    for ratio in (1.02, 1.05, 1.1, 1.15, 1.2, 1.25, 1.3, 1.4, 1.5, 1.75, 2.0):
-        read = [set(x.tolist()) for x in index.nearest(queries, ratio, least=2)]
-        hit = np.mean([[bool(place[j] & read[i]) for j in best[i]] for i in range(len(asked))])
-        if hit >= recall:
-            return ratio
-    return 1e9
+def read_ratio(index: ListIndex, queries: np.ndarray, held: list[tuple[int, list[int]]], recall: float) -> float:
+    """The smallest ratio at which so large a share of (query, lists of one of its neighbours) is read."""
+    x = index.lift(queries, query=True)
+    square = (x * x).sum(1)[:, None] + (index.centroids**2).sum(1) - 2 * x @ index.centroids.T
+    distance = np.sqrt(np.maximum(square, 1e-24))
+    needed = np.sort([distance[q, lists].min() / distance[q].min() for q, lists in held])
+    # Distances are met again in another order of sums.
+    return float(needed[min(len(needed) - 1, int(np.ceil(recall * len(needed))) - 1)]) * (1 + 1e-9) if len(needed) else 1.0
+
+
+def _true_neighbours(postings: DataFrame, index: ListIndex, keys: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[int, list[int]]]:
+    """(query, lists) of the k nearest other vectors of each of some queries, over all postings.
+
+    Each task keeps its best ``k`` for every query, so that its output is bounded however many rows it reads.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = [np.zeros((len(queries), 0)), np.zeros((len(queries), 0), np.int64)]
+        kept: dict[int, np.ndarray] = {}
+        for read in batches:
+            own = read.column(0).to_numpy()
+            x = read.column(1).flatten().to_numpy().reshape(len(own), -1)
+            scores = queries @ x.T
+            scores[keys[:, None] == own[None, :]] = -np.inf
+            most = min(k, len(own))
+            top = np.argpartition(-scores, most - 1, axis=1)[:, :most]
+            kept |= {int(own[j]): x[j] for j in np.unique(top)}
+            scores = np.hstack([best[0], np.take_along_axis(scores, top, 1)])
+            named = np.hstack([best[1], own[top]])
+            top = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+            best = [np.take_along_axis(scores, top, 1), np.take_along_axis(named, top, 1)]
+            wanted = set(best[1].ravel().tolist())
+            kept = {key: v for key, v in kept.items() if key in wanted}
+        names = list(kept)
+        if names:
+            lists = index.nearest(index.lift(np.stack([kept[n] for n in names])), index.copy_ratio, most=index.most_copies)
+            place = {n: x.tolist() for n, x in zip(names, lists, strict=True)}
+            rows, columns = np.nonzero(np.isfinite(best[0]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows.astype(np.int32)), pa.array(best[0][rows, columns]), pa.array(best[1][rows, columns]),
+                 pa.array([place[n] for n in best[1][rows, columns].tolist()], pa.list_(pa.int64()))], names=["q", "score", "key", "lists"])
+
+    found = postings.select("key", "v").mapInArrow(run, "q int, score double, key long, lists array<long>")
+    order = Window.partitionBy("q").orderBy(F.desc("score"), "key")
+    found = found.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k)
+    return [(r["q"], list(r["lists"])) for r in found.select("q", "lists").collect()]
 
 
 def _usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -141,63 +181,83 @@ def _usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
         F.col("id").isNotNull() & v.isNotNull() & plain)
 
 
-def _first_ids(rows: DataFrame, k: int) -> DataFrame:
-    """key, v and ids: of each distinct vector the k + 1 smallest ids, which are all that a result can name.
+def _postings(usable: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """The ids with the key of their vector; and key, v and ids of each distinct vector, as written tables.
 
-    Found in three steps over ever fewer salts, so that no task holds a vector's every row.
+    Of a vector's ids the k + 1 smallest are kept, which are all that a result can name. They are found in steps over
+    ever fewer salts, so that no task holds a vector's every row, and without the vectors themselves.
     """
-    keyed = rows.select(F.xxhash64("v").alias("key"), "id", F.pmod(F.xxhash64("id"), F.lit(512)).alias("salt"), "v")
-    for salts in (512, 64, 8, 1):
-        keyed = keyed.withColumn("salt", F.pmod("salt", F.lit(salts)))
-        order = Window.partitionBy("key", "v", "salt").orderBy("id")
-        keyed = keyed.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= k + 1).drop("_n")
-    return keyed.groupBy("key", "v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
-
-
-def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", fit_rows: int = 16_384, **options) -> DataFrame:
+    keyed = usable.select("id", "v", F.xxhash64("v").alias("key"))
+    ids = materialise(keyed.groupBy("id").agg(F.min("key").alias("key")))
+    salted = ids.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(512)))
+    for salts in (512, 16, 1):
+        salted = salted.withColumn("salt", F.pmod("salt", F.lit(salts)))
+        order = Window.partitionBy("key", "salt").orderBy("id")
+        salted = salted.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= k + 1).drop("_n")
+    first = salted.groupBy("key").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+    vectors = keyed.groupBy("key").agg(F.min("v").alias("v"))
+    return ids, materialise(vectors.join(first, "key"))
+
+
+def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", fit_rows: int = 16_384,
+           tuned: int = 256, recall: float = 0.95, **options) -> DataFrame:
     """query_id, rank, vec_id and score: of each query its k nearest other rows by inner product.
 
     ``is_query`` is a condition on ``id``. The index is fitted on at most about ``fit_rows`` distinct vectors drawn by
-    hash, holds every row, and the bounds of what each task gets in memory are ``fit_rows`` and ``most_lists``. Rows
-    with one vector are one posting with their smallest ids; queries with one vector are searched once. Lists are read
-    in blocks, however long. Null ids and vectors that are null, zero or not finite take part on neither side; of rows
-    that repeat an id with one vector one counts. Ties go to the smaller id. Only the two named columns are read.
+    hash and holds every row; ``tuned`` query vectors, first by hash, are held against all rows to set the reading ratio
+    for ``recall``. These and ``most_lists`` bound what each task gets in memory. Rows with one vector are one posting
+    with their smallest ids; queries with one vector are searched once. Lists are read in blocks, however long. Null ids
+    and vectors that are null, zero or not finite take part on neither side; of rows that repeat an id one vector counts,
+    that with the least hash. Ties go to the smaller id. Vectors of different widths are an error (ValueError). Only the
+    two named columns are read.
     """
-    usable = _usable(vectors, id_col, vector_col).distinct()
-    postings = materialise(_first_ids(usable, k))
-    total, norm = postings.agg(F.count("*"), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)))).first()
-    asked = materialise(usable.filter(is_query).select("id", F.xxhash64("v").alias("key"), "v"))
-    if not total:
+    ids, postings = _postings(_usable(vectors, id_col, vector_col), k)
+    total, norm, narrow, width = postings.agg(
+        F.count("*"), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))), F.min(F.size("v")), F.max(F.size("v"))).first()
+    asked = materialise(ids.filter(is_query))
+    queries = materialise(postings.join(asked.select("key").distinct(), "key", "left_semi").select("key", "v"))
+    tuning = queries.orderBy(F.xxhash64("key", F.lit("tune")), "key").limit(tuned).toArrow()
+    if not len(tuning):
         return asked.select(F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias("vec_id"), F.lit(0.0).alias("score")).limit(0)
-    width = postings.select(F.size("v").alias("n")).distinct().count()
-    if width != 1:
+    if narrow != width:
         raise ValueError("vectors have different numbers of components")
     part = min(1.0, fit_rows / total)
     drawn = postings.filter(F.pmod(F.xxhash64("key", F.lit("fit")), F.lit(1_000_000)) < F.lit(part * 1_000_000)).select("v").toArrow()["v"].combine_chunks().flatten()
-    sample = drawn.to_numpy() if len(drawn) else np.array(postings.first()["v"])
-    sample = sample.reshape(-1, postings.select(F.size("v")).first()[0])
-    index = fit(sample, total, k=k, norm=norm, **options)
+    sample = (drawn.to_numpy() if len(drawn) else np.array(postings.first()["v"])).reshape(-1, width)
+    index = fit(sample, total, norm=norm, **options)
+    tuning = tuning["key"].to_numpy(), tuning["v"].combine_chunks().flatten().to_numpy().reshape(-1, width)
+    index.read_ratio = read_ratio(index, tuning[1], _true_neighbours(postings, index, *tuning, k), recall)
 
     def place(query: bool):
+        """Lists of each vector, nearest first, and for each how far its centroid is: the distance, or a query's product with it."""
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for read in batches:
-                x = index.lift(np.array(read.column(1).to_pylist()).reshape(len(read), -1), query)
-                lists = index.nearest(x, index.read_ratio, least=2) if query else index.nearest(x, index.copy_ratio, most=index.most_copies)
-                yield pa.RecordBatch.from_arrays([read.column(0), pa.array([y.tolist() for y in lists], pa.list_(pa.int64()))], names=["key", "lists"])
-
+                v = read.column(1).flatten().to_numpy().reshape(len(read), -1)
+                x = index.lift(v, query)
+                lists = index.nearest(x, index.read_ratio) if query else index.nearest(x, index.copy_ratio, most=index.most_copies)
+                if query:
+                    scale = np.linalg.norm(v, axis=1) * index.norm
+                    far = [(index.centroids[y] @ x[i]) * scale[i] for i, y in enumerate(lists)]
+                else:
+                    scale = np.ones(len(v))
+                    far = [np.linalg.norm(index.centroids[y] - x[i], axis=1) for i, y in enumerate(lists)]
+                told = [[{"list": int(n), "far": float(d)} for n, d in zip(y, z, strict=True)] for y, z in zip(lists, far, strict=True)]
+                yield pa.RecordBatch.from_arrays([read.column(0), pa.array(scale), pa.array(told, pa.list_(at))], names=["key", "scale", "lists"])
+
+        at = pa.struct([("list", pa.int64()), ("far", pa.float64())])
         return run
 
-    shape = "key long, lists array<long>"
-    told = materialise(postings.select("key", "v").mapInArrow(place(False), shape).select("key", F.explode("lists").alias("list")))
-    queries = asked.select("key", "v").distinct()
-    reads = materialise(queries.mapInArrow(place(True), shape).select("key", F.posexplode("lists").alias("at", "list")))
+    shape = "key long, scale double, lists array<struct<list: long, far: double>>"
+    told = materialise(postings.select("key", "v").mapInArrow(place(False), shape).select("key", F.inline("lists")))
+    reads = materialise(queries.mapInArrow(place(True), shape).select("key", "scale", F.posexplode("lists").alias("at", "x")).select("key", "scale", "at", "x.*"))
     # Lists in blocks: as many as keep a block near BLOCK rows, dealt by hash.
     deal = lambda name: F.greatest(F.lit(1), F.ceil(F.col(name) / BLOCK)).cast("int")
-    sizes = told.groupBy("list").agg(F.count("*").alias("np")).join(reads.groupBy("list").agg(F.count("*").alias("nq")), "list")
-    sizes = F.broadcast(sizes.select("list", deal("np").alias("p"), deal("nq").alias("q")))
+    sizes = told.groupBy("list").agg(F.count("*").alias("np"), F.max("far").alias("radius")).join(reads.groupBy("list").agg(F.count("*").alias("nq")), "list")
+    sizes = F.broadcast(materialise(sizes.select("list", "radius", deal("np").alias("p"), deal("nq").alias("q"))))
     side = lambda rows, own, other: rows.join(sizes, "list").select(
         "key", "list", F.pmod(F.xxhash64("key"), F.col(own)).cast("int").alias(own), F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other))
-    held = side(told, "p", "q").join(postings.select("key", "v", "ids"), "key")
+    held = side(told.select("key", "list"), "p", "q").join(postings.select("key", "v", "ids"), "key")
 
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
@@ -218,17 +278,27 @@ def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", ve
         near = want.groupBy("list", "p", "q").cogroup(held.groupBy("list", "p", "q")).applyInPandas(score, "q long, ids array<long>, score double")
         return near.select(F.col("q").alias("key"), "score", F.explode("ids").alias("vec_id"))
 
-    # The nearest list gives each query a bound, below which the other lists need not answer.
-    once = lambda rows: rows.groupBy("key", "vec_id").agg(F.max("score").alias("score"))
-    first = materialise(found(reads.filter("at = 0"), queries.withColumn("bound", F.lit(float("-inf")))))
-    first = once(first)
-    rank = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score"), "vec_id"))
-    bounds = first.withColumn("n", rank).filter(F.col("n") == k + 1).select("key", F.col("score").alias("bound"))
-    bounded = materialise(queries.join(bounds, "key", "left").withColumn("bound", F.coalesce("bound", F.lit(float("-inf")))))
-    near = once(first.unionByName(found(reads.filter("at > 0"), bounded)))
+    # The nearest list gives each query a bound; each turn reads TURN times as many lists as before, and tightens it.
+    deepest = reads.agg(F.max("at")).first()[0]
     order = Window.partitionBy("key").orderBy(F.desc("score"), "vec_id")
-    near = materialise(near.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k + 1).select("key", "score", "vec_id", "n"))
+    start, stop, near = 0, 1, None
+    while start <= deepest:
+        bounds = queries.withColumn("bound", F.lit(float("-inf")))
+        if near is not None:
+            last = near.filter(F.col("n") == k + 1).select("key", F.col("score").alias("bound"))
+            bounds = queries.join(last, "key", "left").withColumn("bound", F.coalesce("bound", F.lit(float("-inf"))))
+        turn = reads.filter(F.col("at").between(start, stop - 1)).join(sizes.select("list", "radius"), "list").join(bounds.select("key", "bound"), "key")
+        # No vector of a list has a product above its centroid's and the radius together; the rest is room for rounding.
+        turn = turn.filter(F.col("far") + F.col("scale") * (F.col("radius") + 1e-9) >= F.col("bound"))
+        fresh = found(turn.select("key", "list"), bounds)
+        fresh = fresh if near is None else near.select("key", "score", "vec_id").unionByName(fresh)
+        once = fresh.groupBy("key", "vec_id").agg(F.max("score").alias("score"))
+        best = materialise(once.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k + 1))
+        if near is not None:
+            discard(near)
+        near = best
+        start, stop = stop, stop * TURN
     lists = near.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("n", "vec_id", "score"))).alias("found"))
-    others = asked.select("id", "key").join(lists, "key").select("id", F.filter("found", lambda x: x["vec_id"] != F.col("id")).alias("found"))
+    others = asked.join(lists, "key").select("id", F.filter("found", lambda x: x["vec_id"] != F.col("id")).alias("found"))
     return others.select(F.col("id").alias("query_id"), F.posexplode(F.slice("found", 1, k)).alias("at", "hit")).select(
         "query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("hit.vec_id").alias("vec_id"), F.col("hit.score").alias("score"))

@@ -197,6 +197,34 @@ def test_neighbours_against_brute_force(spark):
     assert hits >= 0.9 * 20 * (ids % 20 == 0).sum()
 
 
+def test_neighbours_read_few_of_many_lists(spark):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(40, 16))
+    matrix = (centres[rng.integers(0, 40, 6000)] + 0.35 * rng.normal(size=(6000, 16))) * rng.uniform(0.5, 2, (6000, 1))
+    vectors = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(matrix)], "vec_id long, embedding array<double>")
+    found = collections.defaultdict(set)
+    for r in ann.search(vectors, F.col("id") % 20 == 0, list_rows=64).collect():
+        found[r.query_id].add(r.vec_id)
+    scores = matrix[::20] @ matrix.T
+    scores[np.arange(300), np.arange(300) * 20] = -np.inf
+    best = np.argpartition(-scores, 19, axis=1)[:, :20]
+    assert np.mean([len(set(best[i].tolist()) & found[20 * i]) for i in range(300)]) >= 0.9 * 20
+    index = ann.fit(matrix, 6000, list_rows=64, norm=np.linalg.norm(matrix, axis=1).max())
+    place = [x.tolist() for x in index.nearest(index.lift(matrix), index.copy_ratio, most=index.most_copies)]
+    assert 1 < np.mean([len(x) for x in place]) <= 3 and len(index.centroids) >= 50
+    index.read_ratio = ann.read_ratio(index, matrix[::20], [(i, place[j]) for i in range(300) for j in best[i]], 0.95)
+    assert np.mean([len(x) for x in index.nearest(index.lift(matrix[::20], query=True), index.read_ratio)]) < 0.5 * len(index.centroids)
+
+
+def test_neighbours_of_an_id_with_two_vectors_and_of_mixed_widths(spark):
+    rows = [(20, [1.0, 0.0]), (20, [0.0, 1.0]), (20, [1.0, 0.0]), (1, [1.0, 0.1]), (2, [0.1, 1.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = ann.search(vectors, F.col("id") % 20 == 0).collect()
+    assert [(r.query_id, r.rank) for r in sorted(found, key=lambda r: r.rank)] == [(20, 1), (20, 2)]
+    with pytest.raises(ValueError, match="different numbers"):
+        ann.search(vectors.unionByName(spark.createDataFrame([(3, [1.0])], "vec_id long, embedding array<double>")), F.col("id") % 20 == 0)
+
+
 def test_neighbours_ties_copies_and_odd_vectors(spark):
     nan = float("nan")
     rows = [(i, [1.0, 0.0], 1) for i in range(0, 60)] + [(100, [0.0, 1.0], 1), (101, [0.0, 0.0], 1), (102, None, 1), (120, [nan, 1.0], 1), (140, [1.0, None], 1), (None, [1.0, 1.0], 1), (160, [], 1)]
