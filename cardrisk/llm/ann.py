@@ -270,7 +270,7 @@ def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", ve
         # Matrix products round by the block's shape; the scores told are summed row by row.
         rows, columns = np.nonzero(products >= least[:, None] - 1e-9 * np.abs(products).max())
         exact = (x[rows] * y[columns]).sum(axis=1)
-        return pd.DataFrame({"q": left["key"].to_numpy()[rows], "ids": [right["ids"].iat[j].tolist() for j in columns], "score": exact})
+        return pd.DataFrame({"q": left["key"].to_numpy()[rows], "ids": pd.Series([right["ids"].iat[j].tolist() for j in columns], dtype=object), "score": exact})
 
     def found(lists: DataFrame, asking: DataFrame) -> DataFrame:
         """key, score and vec_id of what the lists hold for their queries, above each query's bound."""
