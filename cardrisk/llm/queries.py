@@ -46,15 +46,16 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     docs = table(spark, sf_dir, "documents")
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    version_of = token_counts.tokenizer_version(vocabulary("byte_bpe_50k.json"))
 
     def events(op: str, version: int, tokenizer: str, tokens) -> DataFrame:
         return docs.select("doc_id", F.lit(tokenizer).alias("tokenizer"), F.lit(version).alias("version"), F.lit(op).alias("op"),
                            "source", "lang", tokens.alias("tokens"))
 
-    exact = events("revise", 2, "byte_bpe_50k", token_counts.count_tokens(F.col("text"), vocabulary("byte_bpe_50k.json")))
-    estimates = events("insert", 1, "byte_bpe_50k", F.ceil(size / 4)).unionByName(events("insert", 1, "utf8_bytes", size))
+    exact = events("revise", 2, version_of, token_counts.count_tokens(F.col("text"), vocabulary("byte_bpe_50k.json")))
+    estimates = events("insert", 1, version_of, F.ceil(size / 4)).unionByName(events("insert", 1, "utf8_bytes", size))
     gone = table(spark, sf_dir, "labels").filter("toxic = 1").select(
-        "doc_id", F.explode(F.array(F.lit("byte_bpe_50k"), F.lit("utf8_bytes"))).alias("tokenizer"), F.lit(3).alias("version"),
+        "doc_id", F.explode(F.array(F.lit(version_of), F.lit("utf8_bytes"))).alias("tokenizer"), F.lit(3).alias("version"),
         F.lit("delete").alias("op"), F.lit(None).cast("string").alias("source"), F.lit(None).cast("string").alias("lang"),
         F.lit(None).cast("long").alias("tokens"))
     rollup = token_counts.TokenRollup(spark, scratch(spark, "token-rollup"))

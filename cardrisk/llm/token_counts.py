@@ -8,6 +8,9 @@ newer than the ledger changes nothing, so neither replays nor late copies count
 
 from __future__ import annotations
 
+import hashlib
+import os
+
 import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +34,12 @@ def count_tokens(text: Column, vocabulary_file: str) -> Column:
     return count(text)
 
 
+def tokenizer_version(vocabulary_file: str) -> str:
+    """The tokenizer's name with the first 12 digits of its file's SHA-256, so that a changed vocabulary has totals of its own."""
+    with open(vocabulary_file, "rb") as held:
+        return f"{os.path.splitext(os.path.basename(vocabulary_file))[0]}@{hashlib.file_digest(held, 'sha256').hexdigest()[:12]}"
+
+
 class TokenRollup:
     """The rollup in a folder that all executors reach."""
 

@@ -316,10 +316,12 @@ def test_token_rollup_query(spark, sf_dir):
     from cardrisk.llm.tokens import Encoder, vocabulary
 
     encoder = Encoder(vocabulary("byte_bpe_50k.json"))
+    with open(vocabulary("byte_bpe_50k.json"), "rb") as held:
+        version = "byte_bpe_50k@" + hashlib.sha256(held.read()).hexdigest()[:12]
     gone = {r.doc_id for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect() if r.toxic == 1}
     want = collections.defaultdict(lambda: [0, 0])
     for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect():
-        for name, size in (("byte_bpe_50k", len(encoder.whole(r.text)) // 4), ("utf8_bytes", len(r.text.encode()))):
+        for name, size in ((version, len(encoder.whole(r.text)) // 4), ("utf8_bytes", len(r.text.encode()))):
             if r.doc_id not in gone:
                 want[r.source, r.lang, name][0] += 1
                 want[r.source, r.lang, name][1] += size
