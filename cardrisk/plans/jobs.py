@@ -56,7 +56,7 @@ def preprocess(
         _, p99 = enrich.amount_overview(files.read_raw_csv(spark, raw_csv))
     seen, own = Observation("preprocess"), observing_session(spark)
     raw = quality.observe_input(files.read_raw_csv(own, raw_csv, with_corrupt=True), seen).drop(CORRUPT_COLUMN)
-    sinks.write_silver(enrich.build_silver(raw, files.read_zip_lookup(own, zip_csv), p99), out)
+    sinks.write_silver(enrich.build_silver(raw, files.read_zip_lookup(own, zip_csv), p99, gather=True), out, gathered=True)
     counts = seen.get
     silver = files.read_silver(spark, out)
     source = raw_csv if isinstance(raw_csv, str) else ", ".join(raw_csv)

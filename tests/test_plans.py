@@ -15,7 +15,7 @@ from cardrisk.plans import tables, views
 from cardrisk.plans.catalog import ORACLES, QUERIES
 from cardrisk.plans.cleaning import raw_csv_path
 from cardrisk.schemas import RAW_COLUMNS
-from cardrisk.session import shared_dir
+from cardrisk.session import setting, shared_dir
 from cardrisk.sources import files, sinks
 
 
@@ -180,3 +180,30 @@ def test_shared_dir_comes_from_the_session():
 
 def test_tables_are_written_to_the_shared_dir(spark, sf_dir):
     assert tables.silver_path(spark, sf_dir).startswith(shared_dir(spark))
+
+
+def test_months_are_gathered_before_columns_are_added(spark, sf_dir):
+    raw, lookup = views.raw_txn(spark, sf_dir), views.zip_coords(spark, sf_dir)
+    gathered = enrich.build_silver(raw, lookup, 10.0, gather=True)
+    with setting(spark, "spark.sql.debug.maxToStringFields", "200"):
+        text = gathered._jdf.queryExecution().optimizedPlan().toString()
+    above, below = text.split("RebalancePartitions")
+    for derived in ("txn_timestamp", "amount_log", "device_merchant_distance_km", "is_weekend"):
+        assert f"AS {derived}#" in above and derived not in below
+    plain = enrich.build_silver(raw, lookup, 10.0)
+    assert gathered.drop("processed_at").exceptAll(plain.drop("processed_at")).isEmpty() and gathered.count() == plain.count()
+
+
+def test_the_large_table_takes_part_in_one_join(spark, sf_dir):
+    raw = views.raw_txn(spark, sf_dir)
+    text = raw._jdf.queryExecution().optimizedPlan().toString()
+    lines = text.splitlines()
+    depth = {i: len(line) - len(line.lstrip(" :+-")) for i, line in enumerate(lines)}
+    at = next(i for i, line in enumerate(lines) if "l_shipdate" in line and "Relation" in line)
+    joins, level = 0, depth[at]
+    for i in range(at, -1, -1):
+        if depth[i] < level:
+            level, joins = depth[i], joins + lines[i].lstrip(" :+-").startswith("Join")
+    assert joins == 1
+    in_turn = spark.sql(views.for_spark(views.RAW_TXN, sf_dir))
+    assert raw.exceptAll(in_turn).isEmpty() and in_turn.exceptAll(raw).isEmpty()
