@@ -98,6 +98,21 @@ def test_stratified_keeps_every_positive(skewed):
     assert 300 < counts[0] < 500
 
 
+def test_the_ratio_holds_among_copies_of_every_row(spark, monkeypatch):
+    rows = spark.range(3000).select(
+        F.col("id").alias("user"), F.when(F.col("id") % 7 == 0, None).otherwise(F.lit(0.0)).alias("note"),
+        F.expr("CASE WHEN id < 100 THEN 7 WHEN id < 200 THEN 2 ELSE 1 END").alias("n"), F.lit(0).alias("is_fraud"),
+    )
+    rows = rows.selectExpr("user", "note", "n", "is_fraud", "explode(sequence(1, n)) AS _").drop("_")
+    kept = sampling.sample_copies_by_hash(rows, 0.4)
+    found = {(r.n, r["count"]) for r in kept.groupBy("user", "n").count().collect()}
+    assert {c for n, c in found if n == 7} == {2, 3}
+    assert {c for n, c in found if n == 2} == {1}
+    assert 1000 < kept.filter("n = 1").count() < 1240 and kept.exceptAll(rows).isEmpty()
+    monkeypatch.setattr(sampling, "fits_broadcast", lambda frame: False)
+    assert rows_of(sampling.sample_copies_by_hash(rows.repartition(5), 0.4)) == rows_of(kept)
+
+
 def test_stratified_by_row_identity(spark, sf_dir):
     from cardrisk.plans import tables
 
