@@ -245,3 +245,10 @@ def test_requests_without_an_amount_are_refused(spark):
 
     with pytest.raises(ValueError, match="amount"):
         features.request_features(spark.createDataFrame([(1,)], "hour int"))
+
+
+def test_only_the_highest_score_is_explained(spark):
+    rows = spark.createDataFrame([(1, 0.2), (2, 0.9), (3, 0.9), (4, None)], "user int, p double")
+    assert sorted(r.user for r in explain.highest_scored(rows).collect()) == [2, 3]
+    assert [r.user for r in explain.highest_scored(rows.filter("user = 4")).collect()] == [4]
+    assert explain.highest_scored(rows.limit(0)).isEmpty()
