@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardrisk.session import materialise
+from cardrisk.session import discard, materialise
 
 #: Words of one block; windows start at blocks.
 BLOCK = 8
@@ -29,6 +29,8 @@ SHORTEST, LONGEST = 1, 8
 TERMS = 1 << 15
 #: Words whose latent rows are gathered at once.
 CHUNK = 1 << 14
+#: Passages multiplied at once, and the words of one part of a product.
+PASSAGES_AT_ONCE, TERMS_OF_BLOCK = 2048, 1024
 #: Distinct words that a worker remembers.
 CACHE_WORDS = 200_000
 
@@ -110,57 +112,61 @@ def pieces_of(items: list[tuple[str | None, str | None]], rule: LeakRule) -> lis
     return found
 
 
-def _document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """In how many passages of all documents each hashed word occurs, and how many passages there are."""
+def _word_statistics(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
+    """In how many passages of all documents each hashed word occurs, how often it does, and how many passages there are."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, passages = np.zeros(TERMS, dtype=np.int64), 0
+        seen, told, passages = np.zeros(TERMS, dtype=np.int64), np.zeros(TERMS, dtype=np.int64), 0
         for read in batches:
             for text in read.column(0):
                 terms = word_hashes(text.as_py()).astype(np.int64) % TERMS
                 if len(terms):
                     rows = np.arange(len(terms)) // PASSAGE
                     seen += np.bincount(np.unique(rows * TERMS + terms) % TERMS, minlength=TERMS)
+                    told += np.bincount(terms, minlength=TERMS)
                     passages += int(rows[-1]) + 1
         terms = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array([-1, *terms], pa.int32()), pa.array([passages, *seen[terms]], pa.int64())], names=["term", "n"])
-
-    rows = docs.select(F.col("text").cast("string")).mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    found = {r["term"]: r["n"] for r in rows}
-    frequencies = np.zeros(TERMS)
-    for term, n in found.items():
-        if term >= 0:
-            frequencies[term] = n
-    return frequencies, int(found.get(-1, 0))
-
-
-def _sample_passages(docs: DataFrame, share: float) -> DataFrame:
-    """Passages drawn by a hash of their words, as arrays of hashed words."""
-    limit = int(share * (1 << 32))
-
-    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns = [pa.array([-1, *terms], pa.int32()), pa.array([passages, *seen[terms]], pa.int64()), pa.array([0, *told[terms]], pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["term", "n", "words"])
+
+    counted = docs.select(F.col("text").cast("string")).mapInArrow(count, "term int, n long, words long")
+    rows = counted.groupBy("term").agg(F.sum("n").alias("n"), F.sum("words").alias("words")).collect()
+    frequencies, occurrences, passages = np.zeros(TERMS), np.zeros(TERMS), 0
+    for row in rows:
+        if row["term"] >= 0:
+            frequencies[row["term"]], occurrences[row["term"]] = row["n"], row["words"]
+        else:
+            passages = int(row["n"])
+    return frequencies, occurrences, passages
+
+
+def _passages(docs: DataFrame) -> DataFrame:
+    """All passages of all documents, as arrays of hashed words."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for read in batches:
-            drawn = []
+            held = []
             for text in read.column(0):
-                words = word_hashes(text.as_py())
-                for i in range(0, len(words), PASSAGE):
-                    part = words[i : i + PASSAGE]
-                    if zlib.crc32(part.tobytes()) < limit:
-                        drawn.append((part % TERMS).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([pa.array(drawn, pa.list_(pa.int32()))], names=["terms"])
+                terms = (word_hashes(text.as_py()) % TERMS).astype(np.int32)
+                for i in range(0, len(terms), PASSAGE):
+                    held.append(terms[i : i + PASSAGE])
+                if len(held) >= PASSAGES_AT_ONCE:
+                    yield pa.RecordBatch.from_arrays([pa.array(held, pa.list_(pa.int32()))], names=["terms"])
+                    held = []
+            yield pa.RecordBatch.from_arrays([pa.array(held, pa.list_(pa.int32()))], names=["terms"])
 
-    return docs.select(F.col("text").cast("string")).mapInArrow(draw, "terms array<int>")
+    return docs.select(F.col("text").cast("string")).mapInArrow(cut, "terms array<int>")
 
 
-def _gram_product(sample: DataFrame, weights: np.ndarray, basis: np.ndarray) -> np.ndarray:
-    """A'A times the basis, A being the sample's TF-IDF matrix with rows of unit length, summed over tasks."""
+def _gram_product(passages: DataFrame, weights: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    """A'A times the basis, A being the passages' TF-IDF matrix with rows of unit length, summed by blocks of words."""
     wide = basis.shape[1]
     weighted = (basis * weights[:, None]).astype(np.float32)
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((TERMS, wide), dtype=np.float64)
-        for read in batches:
-            flat = read.column(0).flatten().to_numpy().astype(np.int64)
-            sizes = np.asarray(read.column(0).value_lengths())
+        parts = (read.column(0).slice(i, PASSAGES_AT_ONCE) for read in batches for i in range(0, read.num_rows, PASSAGES_AT_ONCE))
+        for part in parts:
+            flat = part.flatten().to_numpy().astype(np.int64)
+            sizes = np.asarray(part.value_lengths())
             rows = np.repeat(np.arange(len(sizes)), sizes)
             cells, counts = np.unique(rows * TERMS + flat, return_counts=True)
             rows, terms = cells // TERMS, cells % TERMS
@@ -177,38 +183,44 @@ def _gram_product(sample: DataFrame, weights: np.ndarray, basis: np.ndarray) ->
             ordered = terms[order]
             first = np.flatnonzero(np.diff(ordered, prepend=-1))
             total[ordered[first]] += np.add.reduceat(projected[place] * values[order, None].astype(np.float32), first, axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array([total.astype(np.float32).tobytes()], pa.binary())], names=["m"])
+        blocks = [total[i : i + TERMS_OF_BLOCK].astype(np.float32).tobytes() for i in range(0, TERMS, TERMS_OF_BLOCK)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(blocks)), pa.int32()), pa.array(blocks, pa.binary())], names=["block", "m"])
+
+    def add(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(m.as_py(), dtype=np.float32).astype(np.float64) for m in table.column("m"))
+        return pa.table({"block": table.column("block").slice(0, 1), "m": pa.array([total.tobytes()], pa.binary())})
 
     result = np.zeros((TERMS, wide))
-    for row in sample.repartition(8).mapInArrow(multiply, "m binary").toLocalIterator():
-        result += np.frombuffer(row["m"], dtype=np.float32).reshape(TERMS, wide)
+    # A task's part is as large as the whole result, so there is one for each core, however many files there are.
+    dealt = passages.coalesce(max(8, passages.sparkSession.sparkContext.defaultParallelism))
+    summed = dealt.mapInArrow(multiply, "block int, m binary").groupBy("block").applyInArrow(add, "block int, m binary")
+    for row in summed.collect():
+        at = row["block"] * TERMS_OF_BLOCK
+        result[at : at + TERMS_OF_BLOCK] = np.frombuffer(row["m"], dtype=np.float64).reshape(-1, wide)
     return result
 
 
-def fit_space(docs: DataFrame, rank: int = 96, fit_passages: int = 200_000, rounds: int = 0, common: float = 0.01,
-              seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
-    """The latent table (a row for each hashed word, then a row of zeros) and some passages to calibrate with.
+def fit_space(docs: DataFrame, rank: int = 96, rounds: int = 0, common: float = 0.01, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
+    """The latent table (a row for each hashed word, then a row of zeros) and how often each hashed word occurs.
 
-    Word statistics cover all passages of all documents; words in more than a share ``common`` of the passages
-    weigh a tenth. The bound of the fit: about ``fit_passages`` passages, drawn by a hash of their words (all, if there are
-    fewer), make the matrix of the randomised SVD; its range finder, ``rounds`` power iterations and the projection
+    Both cover all passages of all documents; words in more than a share ``common`` of the passages weigh a tenth. The
+    passages make the matrix of the randomised SVD; its range finder, ``rounds`` power iterations and the projection
     each run as one distributed product. A word's whitened row is brought to unit length and weighted by its inverse
-    frequency, so that rare words, which a low rank keeps least of, still tell passages apart. Only tables of hashed
-    words by rank reach the driver, eight for each product.
+    frequency, so that rare words, which a low rank keeps least of, still tell passages apart. Only one table of hashed
+    words by rank reaches the driver for each product.
     """
-    frequencies, passages = _document_frequencies(docs)
-    weights = np.log((passages + 1) / (frequencies + 1)) * np.where(frequencies > common * passages, 0.1, 1)
-    sample = materialise(_sample_passages(docs, min(1.0, fit_passages / max(1, passages))))
+    frequencies, occurrences, count = _word_statistics(docs)
+    weights = np.log((count + 1) / (frequencies + 1)) * np.where(frequencies > common * count, 0.1, 1)
+    passages = materialise(_passages(docs))
     rng = np.random.default_rng(seed)
     basis = np.linalg.qr(rng.normal(size=(TERMS, rank)))[0]
     for _ in range(rounds + 1):
-        basis = np.linalg.qr(_gram_product(sample, weights, basis))[0]
-    values, vectors = np.linalg.eigh(basis.T @ _gram_product(sample, weights, basis))
+        basis = np.linalg.qr(_gram_product(passages, weights, basis))[0]
+    values, vectors = np.linalg.eigh(basis.T @ _gram_product(passages, weights, basis))
+    discard(passages)
     latent = basis @ vectors / np.sqrt(np.maximum(values, max(values[-1], 1e-9) * 1e-9))
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
-    table = np.vstack([latent * weights[:, None], np.zeros((1, rank))]).astype(np.float32)
-    drawn = sample.limit(2_000).collect()
-    return table, np.concatenate([np.array(r["terms"], dtype=np.int64) for r in drawn]) if drawn else np.zeros(0, np.int64)
+    return np.vstack([latent * weights[:, None], np.zeros((1, rank))]).astype(np.float32), occurrences
 
 
 @dataclass
@@ -315,25 +327,31 @@ class LeakFinder:
         return leaks(text)
 
 
-def calibrate(finder: LeakFinder, passages: np.ndarray, recall: float = 0.95, replaced: float = 0.2, turns: int = 8, seed: int = 5) -> dict[int, float]:
+def calibrate(finder: LeakFinder, occurrences: np.ndarray, recall: float = 0.95, replaced: float = 0.2, turns: int = 8, seed: int = 5) -> dict[int, float]:
     """For each window length the cosine that so many planted windows reach.
 
-    A planted window is an item moved by up to half a block into random words, some of its words replaced. A passage
-    falls into several windows, so a document's chance is better than one window's.
+    A planted window is an item moved by up to half a block into random words, some of its words replaced; random words
+    come as often as all documents have them. A passage falls into several windows, so a document's chance is better than one window's.
     """
     rng = np.random.default_rng(seed)
+    upto = np.cumsum(occurrences)
+    told = upto[-1]
+
+    def draw(n: int) -> np.ndarray:
+        return np.searchsorted(upto, rng.random(n) * told, side="right")
+
     found = {}
     for blocks, (which, _) in finder._by_blocks.items():
         reached = []
         for piece in (finder.pieces[i] for i in which):
             own = np.array(piece.words, dtype=np.int64) % TERMS
             target = finder.table[own].sum(axis=0)
-            for _ in range(turns if len(passages) else 0):
+            for _ in range(turns if told else 0):
                 changed = own.copy()
                 swap = rng.random(len(own)) < replaced
-                changed[swap] = rng.choice(passages, swap.sum())
-                window = np.concatenate([rng.choice(passages, rng.integers(0, BLOCK // 2 + 1)), changed])[: blocks * BLOCK]
-                window = np.concatenate([window, rng.choice(passages, blocks * BLOCK - len(window))])
+                changed[swap] = draw(swap.sum())
+                window = np.concatenate([draw(rng.integers(0, BLOCK // 2 + 1)), changed])[: blocks * BLOCK]
+                window = np.concatenate([window, draw(blocks * BLOCK - len(window))])
                 vector = finder.table[window].sum(axis=0)
                 reached.append(float(vector @ target / max(1e-9, np.linalg.norm(vector) * np.linalg.norm(target))))
         found[blocks] = float(np.clip(np.quantile(reached, 1 - recall), 0.25, 0.9)) if reached else 0.5
@@ -345,12 +363,12 @@ def leak_finders(docs: DataFrame, benchmark: DataFrame, rule: LeakRule = LeakRul
     answer = F.col("answer") if "answer" in benchmark.columns else F.lit(None)
     rows = benchmark.select("item_id", "text", answer.cast("string").alias("answer"))
     blocks = max(1, -(-rows.count() // max_items))
-    table, passages = fit_space(docs, **fit)
+    table, occurrences = fit_space(docs, **fit)
     found = []
     for block in range(blocks):
         held = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
         finder = LeakFinder(table, pieces_of([(r["text"], r["answer"]) for r in held], rule), {}, rule)
-        finder.cosine = calibrate(finder, passages)
+        finder.cosine = calibrate(finder, occurrences)
         found.append(([r["item_id"] for r in held], finder))
     return found
 

@@ -263,3 +263,14 @@ def test_pieces_are_bucketed_by_length(spark, sf_dir, tmp_path):
         assert bucket.count() == count and bucket.filter(F.octet_length("ids") != 4 * length).isEmpty()
     text = packing.read_bucket(spark, path, 256)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(length" in text
+
+
+def test_leak_space_covers_every_passage(spark):
+    """Random words of the calibration and the matrix come from all passages, not from some of them."""
+    docs = spark.range(40).selectExpr("id AS doc_id", "array_join(transform(sequence(1, 3200), i -> concat('w', (i * 7 + id * 13) % 900)), ' ') AS text")
+    docs = docs.unionByName(spark.createDataFrame([(-1, None), (-2, "")], "doc_id long, text string"))
+    frequencies, occurrences, passages = decontam._word_statistics(docs)
+    assert passages == 4000 == decontam._passages(docs).count() and occurrences.sum() == 40 * 3200
+    assert frequencies.sum() == decontam._passages(docs).selectExpr("size(array_distinct(terms)) AS n").agg({"n": "sum"}).first()[0]
+    table, told = decontam.fit_space(docs, rank=4)
+    assert table.shape == (decontam.TERMS + 1, 4) and (told == occurrences).all()
