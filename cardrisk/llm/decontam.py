@@ -29,32 +29,17 @@ SHORTEST, LONGEST = 1, 8
 TERMS = 1 << 15
 #: Words whose latent rows are gathered at once.
 CHUNK = 1 << 14
-#: Passages multiplied at once, and the words of one part of a product.
-PASSAGES_AT_ONCE, TERMS_OF_BLOCK = 2048, 1024
-#: Distinct words that a worker remembers.
-CACHE_WORDS = 200_000
+#: Passages cut, projected and summed up by words at once, and the words of one part of a product.
+PASSAGES_AT_ONCE, PROJECTED_AT_ONCE, SUMMED_AT_ONCE, TERMS_OF_BLOCK = 2048, 64, 1 << 16, 1024
 
 #: ASCII punctuation and control characters to spaces.
 _APART = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256))
 
 
-class _Hashes(dict):
-    """Word to unsigned 32-bit hash, remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        found = self[word] = zlib.crc32(word)
-        return found
-
-
-_HASHES = _Hashes()
-
-
 def word_hashes(text: str | None) -> np.ndarray:
     """Hashes of a whole text's words: lower case, parted by white space and ASCII punctuation."""
     words = (text or "").lower().encode().translate(_APART).split()
-    return np.fromiter(map(_HASHES.__getitem__, words), dtype=np.uint32, count=len(words))
+    return np.fromiter(map(zlib.crc32, words), dtype=np.uint32, count=len(words))
 
 
 @dataclass(frozen=True)
@@ -112,94 +97,159 @@ def pieces_of(items: list[tuple[str | None, str | None]], rule: LeakRule) -> lis
     return found
 
 
-def _word_statistics(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
-    """In how many passages of all documents each hashed word occurs, how often it does, and how many passages there are."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, told, passages = np.zeros(TERMS, dtype=np.int64), np.zeros(TERMS, dtype=np.int64), 0
-        for read in batches:
-            for text in read.column(0):
-                terms = word_hashes(text.as_py()).astype(np.int64) % TERMS
-                if len(terms):
-                    rows = np.arange(len(terms)) // PASSAGE
-                    seen += np.bincount(np.unique(rows * TERMS + terms) % TERMS, minlength=TERMS)
-                    told += np.bincount(terms, minlength=TERMS)
-                    passages += int(rows[-1]) + 1
-        terms = np.flatnonzero(seen)
-        columns = [pa.array([-1, *terms], pa.int32()), pa.array([passages, *seen[terms]], pa.int64()), pa.array([0, *told[terms]], pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, names=["term", "n", "words"])
-
-    counted = docs.select(F.col("text").cast("string")).mapInArrow(count, "term int, n long, words long")
-    rows = counted.groupBy("term").agg(F.sum("n").alias("n"), F.sum("words").alias("words")).collect()
-    frequencies, occurrences, passages = np.zeros(TERMS), np.zeros(TERMS), 0
-    for row in rows:
-        if row["term"] >= 0:
-            frequencies[row["term"]], occurrences[row["term"]] = row["n"], row["words"]
-        else:
-            passages = int(row["n"])
-    return frequencies, occurrences, passages
-
-
 def _passages(docs: DataFrame) -> DataFrame:
     """All passages of all documents, as arrays of hashed words."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(held: list[np.ndarray]) -> pa.RecordBatch:
+            sizes = np.array([len(terms) for terms in held], dtype=np.int64)
+            # Where passages start: every PASSAGE words of a text, and at its end.
+            ends = np.concatenate([np.append(np.arange(PASSAGE, n, PASSAGE), n) + before for n, before in zip(sizes, np.cumsum(sizes) - sizes, strict=True)])
+            flat = (np.concatenate(held) % TERMS).astype(np.int32)
+            terms = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(flat))
+            return pa.RecordBatch.from_arrays([terms], names=["terms"])
+
+        held, size = [], 0
         for read in batches:
-            held = []
             for text in read.column(0):
-                terms = (word_hashes(text.as_py()) % TERMS).astype(np.int32)
-                for i in range(0, len(terms), PASSAGE):
-                    held.append(terms[i : i + PASSAGE])
-                if len(held) >= PASSAGES_AT_ONCE:
-                    yield pa.RecordBatch.from_arrays([pa.array(held, pa.list_(pa.int32()))], names=["terms"])
-                    held = []
-            yield pa.RecordBatch.from_arrays([pa.array(held, pa.list_(pa.int32()))], names=["terms"])
+                hashes = word_hashes(text.as_py())
+                if len(hashes):
+                    held.append(hashes)
+                    size += len(hashes)
+                if size >= PASSAGES_AT_ONCE * PASSAGE:
+                    yield rows(held)
+                    held, size = [], 0
+        if held:
+            yield rows(held)
 
     return docs.select(F.col("text").cast("string")).mapInArrow(cut, "terms array<int>")
 
 
-def _gram_product(passages: DataFrame, weights: np.ndarray, basis: np.ndarray) -> np.ndarray:
-    """A'A times the basis, A being the passages' TF-IDF matrix with rows of unit length, summed by blocks of words."""
-    wide = basis.shape[1]
-    weighted = (basis * weights[:, None]).astype(np.float32)
-
-    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((TERMS, wide), dtype=np.float64)
-        parts = (read.column(0).slice(i, PASSAGES_AT_ONCE) for read in batches for i in range(0, read.num_rows, PASSAGES_AT_ONCE))
-        for part in parts:
-            flat = part.flatten().to_numpy().astype(np.int64)
+def _sorted_passages(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[np.ndarray]:
+    """The words of about so many passages at a time, a row for each, sorted; short rows end with the pad's number."""
+    held, size = [], 0
+    for read in batches:
+        for part in (read.column(0).slice(i, most) for i in range(0, read.num_rows, most)):
             sizes = np.asarray(part.value_lengths())
-            rows = np.repeat(np.arange(len(sizes)), sizes)
-            cells, counts = np.unique(rows * TERMS + flat, return_counts=True)
-            rows, terms = cells // TERMS, cells % TERMS
-            values = counts * weights[terms]
-            length = np.sqrt(np.bincount(rows, values * values, minlength=len(sizes)))
-            scale = 1 / np.maximum(length, 1e-9) ** 2
-            starts = np.flatnonzero(np.diff(rows, prepend=-1))
-            if not len(starts):
-                continue
-            projected = np.add.reduceat(weighted[terms] * counts[:, None].astype(np.float32), starts, axis=0)
-            projected *= scale[rows[starts], None].astype(np.float32)
-            order = np.argsort(terms, kind="stable")
-            place = np.repeat(np.arange(len(starts)), np.diff([*starts, len(rows)]))[order]
-            ordered = terms[order]
-            first = np.flatnonzero(np.diff(ordered, prepend=-1))
-            total[ordered[first]] += np.add.reduceat(projected[place] * values[order, None].astype(np.float32), first, axis=0)
-        blocks = [total[i : i + TERMS_OF_BLOCK].astype(np.float32).tobytes() for i in range(0, TERMS, TERMS_OF_BLOCK)]
+            terms = np.full((len(sizes), PASSAGE), TERMS, dtype=np.int32)
+            terms[np.arange(PASSAGE) < sizes[:, None]] = part.flatten().to_numpy()
+            terms.sort(axis=1)
+            held.append(terms)
+            size += len(terms)
+            if size >= most:
+                yield np.concatenate(held)
+                held, size = [], 0
+    if held:
+        yield np.concatenate(held)
+
+
+def _distinct(terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first place of each distinct word of each sorted passage, among all places, and how often it is there."""
+    starts = np.ones(terms.shape, dtype=bool)
+    starts[:, 1:] = terms[:, 1:] != terms[:, :-1]
+    starts = np.flatnonzero(starts)
+    return starts, np.diff(np.append(starts, terms.size))
+
+
+def _word_statistics(docs: DataFrame, passages: DataFrame | None = None) -> tuple[np.ndarray, np.ndarray, int]:
+    """In how many passages of all documents each hashed word occurs, how often it does, and how many passages there are.
+
+    ``passages`` are the documents' own, where they are already cut.
+    """
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, told, cut = np.zeros(TERMS + 1, dtype=np.int64), np.zeros(TERMS + 1, dtype=np.int64), 0
+        for terms in _sorted_passages(batches, PASSAGES_AT_ONCE):
+            seen += np.bincount(terms.ravel()[_distinct(terms)[0]], minlength=TERMS + 1)
+            told += np.bincount(terms.ravel(), minlength=TERMS + 1)
+            cut += len(terms)
+        terms = np.flatnonzero(seen[:TERMS])
+        columns = [pa.array([-1, *terms], pa.int32()), pa.array([cut, *seen[terms]], pa.int64()), pa.array([0, *told[terms]], pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["term", "n", "words"])
+
+    counted = (_passages(docs) if passages is None else passages).mapInArrow(count, "term int, n long, words long")
+    rows = counted.groupBy("term").agg(F.sum("n").alias("n"), F.sum("words").alias("words")).collect()
+    frequencies, occurrences, number = np.zeros(TERMS), np.zeros(TERMS), 0
+    for row in rows:
+        if row["term"] >= 0:
+            frequencies[row["term"]], occurrences[row["term"]] = row["n"], row["words"]
+        else:
+            number = int(row["n"])
+    return frequencies, occurrences, number
+
+
+def _projected(terms: np.ndarray, weights: np.ndarray, weighted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted passages times the weighted basis, and the squared lengths of their rows; both tables end with the pad's zeros."""
+    rows = np.empty((len(terms), weighted.shape[1]), dtype=np.float32)
+    for i in range(0, len(terms), PROJECTED_AT_ONCE):
+        part = terms[i : i + PROJECTED_AT_ONCE]
+        np.add.reduce(np.take(weighted, part.ravel(), axis=0).reshape(*part.shape, -1), axis=1, out=rows[i : i + PROJECTED_AT_ONCE])
+    starts, counts = _distinct(terms)
+    values = counts * weights[terms.ravel()[starts]]
+    return rows, np.maximum(np.bincount(starts // PASSAGE, values * values, minlength=len(terms)), 1e-18)
+
+
+def _summed(passages: DataFrame, multiply, height: int, wide: int) -> np.ndarray:
+    """The sum of the tasks' matrices of this size, by blocks of rows in a shuffle."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = multiply(batches)
+        blocks = [total[i : i + TERMS_OF_BLOCK].astype(np.float32).tobytes() for i in range(0, height, TERMS_OF_BLOCK)]
         yield pa.RecordBatch.from_arrays([pa.array(range(len(blocks)), pa.int32()), pa.array(blocks, pa.binary())], names=["block", "m"])
 
     def add(table: pa.Table) -> pa.Table:
         total = sum(np.frombuffer(m.as_py(), dtype=np.float32).astype(np.float64) for m in table.column("m"))
         return pa.table({"block": table.column("block").slice(0, 1), "m": pa.array([total.tobytes()], pa.binary())})
 
-    result = np.zeros((TERMS, wide))
+    result = np.zeros((height, wide))
     # A task's part is as large as the whole result, so there is one for each core, however many files there are.
-    dealt = passages.coalesce(max(8, passages.sparkSession.sparkContext.defaultParallelism))
-    summed = dealt.mapInArrow(multiply, "block int, m binary").groupBy("block").applyInArrow(add, "block int, m binary")
-    for row in summed.collect():
+    dealt = passages.coalesce(passages.sparkSession.sparkContext.defaultParallelism)
+    for row in dealt.mapInArrow(run, "block int, m binary").groupBy("block").applyInArrow(add, "block int, m binary").collect():
         at = row["block"] * TERMS_OF_BLOCK
         result[at : at + TERMS_OF_BLOCK] = np.frombuffer(row["m"], dtype=np.float64).reshape(-1, wide)
     return result
 
 
+def _tables(weights: np.ndarray, basis: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.append(weights, 0.0), np.vstack([basis * weights[:, None], np.zeros((1, basis.shape[1]))]).astype(np.float32)
+
+
+def _gram_product(passages: DataFrame, weights: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    """A'A times the basis, A being the passages' TF-IDF matrix with rows of unit length, summed by blocks of words."""
+    wide = basis.shape[1]
+    padded, weighted = _tables(weights, basis)
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        total = np.zeros((TERMS + 1, wide), dtype=np.float64)
+        for terms in _sorted_passages(batches, SUMMED_AT_ONCE):
+            rows, squares = _projected(terms, padded, weighted)
+            rows /= squares[:, None].astype(np.float32)
+            # The rows of each word's passages are summed word by word.
+            flat = terms.ravel().astype(np.uint16)
+            order = np.argsort(flat, kind="stable")
+            ordered, place = flat[order], order // PASSAGE
+            first = np.flatnonzero(np.diff(ordered, prepend=-1))
+            for term, start, end in zip(ordered[first].tolist(), first.tolist(), [*first[1:].tolist(), len(ordered)], strict=True):
+                if term < TERMS:
+                    total[term] += np.add.reduce(np.take(rows, place[start:end], axis=0), axis=0)
+        return total[:TERMS] * weights[:, None]
+
+    return _summed(passages, multiply, TERMS, wide)
+
+
+def _gram_within(passages: DataFrame, weights: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    """The basis' transpose times A'A times the basis: the products of the projected passages, one small matrix a task."""
+    wide = basis.shape[1]
+    padded, weighted = _tables(weights, basis)
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        total = np.zeros((wide, wide), dtype=np.float64)
+        for terms in _sorted_passages(batches, PASSAGES_AT_ONCE):
+            rows, squares = _projected(terms, padded, weighted)
+            rows /= np.sqrt(squares)[:, None].astype(np.float32)
+            total += rows.T @ rows
+        return total
+
+    return _summed(passages, multiply, wide, wide)
+
+
 def fit_space(docs: DataFrame, rank: int = 96, rounds: int = 0, common: float = 0.01, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
     """The latent table (a row for each hashed word, then a row of zeros) and how often each hashed word occurs.
 
@@ -209,14 +259,14 @@ def fit_space(docs: DataFrame, rank: int = 96, rounds: int = 0, common: float =
     frequency, so that rare words, which a low rank keeps least of, still tell passages apart. Only one table of hashed
     words by rank reaches the driver for each product.
     """
-    frequencies, occurrences, count = _word_statistics(docs)
-    weights = np.log((count + 1) / (frequencies + 1)) * np.where(frequencies > common * count, 0.1, 1)
     passages = materialise(_passages(docs))
+    frequencies, occurrences, count = _word_statistics(docs, passages)
+    weights = np.log((count + 1) / (frequencies + 1)) * np.where(frequencies > common * count, 0.1, 1)
     rng = np.random.default_rng(seed)
     basis = np.linalg.qr(rng.normal(size=(TERMS, rank)))[0]
     for _ in range(rounds + 1):
         basis = np.linalg.qr(_gram_product(passages, weights, basis))[0]
-    values, vectors = np.linalg.eigh(basis.T @ _gram_product(passages, weights, basis))
+    values, vectors = np.linalg.eigh(_gram_within(passages, weights, basis))
     discard(passages)
     latent = basis @ vectors / np.sqrt(np.maximum(values, max(values[-1], 1e-9) * 1e-9))
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
@@ -241,10 +291,6 @@ class LeakFinder:
             if which:
                 self._by_blocks[blocks] = (np.array(which), (vectors[which] / np.maximum(norms[which], 1e-9)).T.copy())
 
-    def _windows(self, blocks: int, sums: np.ndarray) -> np.ndarray:
-        window = sums[blocks:] - sums[:-blocks]
-        return window / np.maximum(np.linalg.norm(window, axis=1, keepdims=True), 1e-6)
-
     def search(self, texts: list[str | None]) -> list[list[dict]]:
         """For each whole text the items that it leaks, each at its best window."""
         found: list[dict[int, dict]] = [{} for _ in texts]
@@ -276,15 +322,22 @@ class LeakFinder:
             owner += [k] * blocks
         flat = np.concatenate(terms)
         sums = np.take(self.table, flat, axis=0).reshape(len(owner), BLOCK, -1).sum(axis=1)
-        sums = np.vstack([np.zeros((1, sums.shape[1]), np.float32), np.cumsum(sums, axis=0)])
-        for blocks, (which, vectors) in self._by_blocks.items():
-            cosines = self._windows(blocks, sums) @ vectors
-            columns, at = np.nonzero((cosines >= self.cosine.get(blocks, 0.5)).T)
+        window = np.zeros_like(sums)
+        for blocks in range(1, max(self._by_blocks, default=0) + 1):
+            # A longer window starts at the same block and takes in one more.
+            window = window[: len(sums) - blocks + 1] + sums[blocks - 1 :]
+            if blocks not in self._by_blocks:
+                continue
+            which, vectors = self._by_blocks[blocks]
+            norms = np.maximum(np.sqrt(np.einsum("ij,ij->i", window, window)), np.float32(1e-6))
+            products = window @ vectors
+            hits = np.flatnonzero(products >= (norms * np.float32(self.cosine.get(blocks, 0.5)))[:, None])
+            at, columns = np.divmod(hits, len(which))
             for j in np.unique(columns):
                 piece = self.pieces[which[j]]
                 for block in self._plausible(piece, flat, at[columns == j]):
                     place, start, words, _ = held[owner[block]]
-                    self._verify(found[place], piece, words, start + (block - base[owner[block]]) * BLOCK, float(cosines[block, j]))
+                    self._verify(found[place], piece, words, start + (block - base[owner[block]]) * BLOCK, float(products[block, j] / norms[block]))
 
     def _room(self, piece: Piece) -> int:
         return BLOCK + len(piece.words) // 4

@@ -274,3 +274,27 @@ def test_leak_space_covers_every_passage(spark):
     assert frequencies.sum() == decontam._passages(docs).selectExpr("size(array_distinct(terms)) AS n").agg({"n": "sum"}).first()[0]
     table, told = decontam.fit_space(docs, rank=4)
     assert table.shape == (decontam.TERMS + 1, 4) and (told == occurrences).all()
+
+
+def test_leak_space_reads_texts_once_and_its_products_are_the_matrix_ones(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def told(i):
+        reads.add(1)
+        return " ".join(f"w{(i * 7 + k * k) % 50}" for k in range(i * 9 % 70))
+
+    docs = spark.range(30, numPartitions=3).select(told("id").alias("text"))
+    decontam.fit_space(docs, rank=4)
+    assert reads.value == 30
+    passages = decontam._passages(docs).localCheckpoint()
+    rng = np.random.default_rng(2)
+    weights, basis = rng.random(decontam.TERMS), rng.normal(size=(decontam.TERMS, 5))
+    rows = []
+    for r in passages.collect():
+        row = np.bincount(r.terms, minlength=decontam.TERMS) * weights
+        rows.append(row / np.linalg.norm(row))
+    matrix = np.array(rows)
+    assert np.allclose(decontam._gram_product(passages, weights, basis), matrix.T @ (matrix @ basis), atol=1e-4)
+    assert np.allclose(decontam._gram_within(passages, weights, basis), (matrix @ basis).T @ (matrix @ basis), rtol=1e-4, atol=1e-4)
+    assert not decontam._gram_product(passages.limit(0), weights, basis).any()
