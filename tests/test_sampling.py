@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from cardrisk.operators import sampling, sizing
+from cardrisk.operators import features, sampling, sizing
 from cardrisk.sources.files import read_silver
 
 
@@ -194,3 +194,19 @@ def test_join_beyond_broadcast_splits_hot_keys(spark):
     assert rows_of(unweighted.select(*columns)) == rows_of(small.select(*columns))
     assert large.filter("n IS NULL").count() == facts.filter("user = 13").count()
     assert "SortMergeJoin" in large._jdf.queryExecution().executedPlan().toString()
+
+
+def test_profiles_of_more_keys_are_broadcast_and_beyond_that_rows_are_not_sorted(spark):
+    facts = spark.range(4000).select(
+        F.when(F.col("id") < 900, -1).when(F.col("id") % 50 == 0, None).otherwise(F.col("id") % 700).cast("int").alias("user"),
+        (F.col("id") % 3).cast("int").alias("mcc"), F.col("id").cast("double").alias("amount_abs"),
+    )
+    users, mccs = features.user_stats(facts.filter("user <> 13")), features.mcc_frequency(facts)
+    small, large = features.join_profiles(facts, users, mccs), features.join_profiles(facts, users, mccs, max_rows=10)
+    assert rows_of(small) == rows_of(large) and small.count() == 4000
+    text = large._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in text and "SortMergeJoin" not in text
+    assert 4_000_000 < sizing.narrow_rows(users) < 6_000_000
+    many = spark.range(sizing.MAX_BROADCAST_ROWS + 1).selectExpr("CAST(id AS INT) AS user", "1D AS user_amount_mean", "0D AS user_amount_std", "1L AS user_txn_count")
+    text = features.join_profiles(facts, many, mccs)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "ShuffledHashJoin" not in text and "SortMergeJoin" not in text
