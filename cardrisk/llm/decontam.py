@@ -30,7 +30,7 @@ TERMS = 1 << 15
 #: Words whose latent rows are gathered at once.
 CHUNK = 1 << 14
 #: Passages cut, projected and summed up by words at once, and the words of one part of a product.
-PASSAGES_AT_ONCE, PROJECTED_AT_ONCE, SUMMED_AT_ONCE, TERMS_OF_BLOCK = 2048, 64, 1 << 16, 1024
+PASSAGES_AT_ONCE, PROJECTED_AT_ONCE, SUMMED_AT_ONCE, TERMS_OF_BLOCK = 2048, 64, 1 << 15, 1024
 
 #: ASCII punctuation and control characters to spaces.
 _APART = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256))

@@ -17,6 +17,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cardrisk.llm.tokens import forget
 from cardrisk.session import materialise
 
 BLOCK = 2048
@@ -104,6 +105,7 @@ class QualityModel:
 
         @F.arrow_udf("double")
         def score(texts: pa.Array) -> pa.Array:
+            forget()
             return pa.array(self.scores(texts.to_pylist()), pa.float64())
 
         return score(text)

@@ -85,6 +85,11 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def forget() -> None:
+    """Frees the encoders and what they remember. Python workers serve one operator after the other; those that need the memory call it."""
+    encoder.cache_clear()
+
+
 def vocabulary(name: str) -> str:
     """The place of a public vocabulary file, the same on every machine with the package."""
     import public_tokenizers

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from test_group_operators import lines_by_brute_force
 from test_text_operators import odd_documents
 
-from cardrisk.llm import linededup, simhash
+from cardrisk.llm import linededup, simhash, tokens
 from cardrisk.session import materialise
 
 FILTERS = dict(corpus_pipeline.STAGES[:-1])
@@ -62,3 +62,10 @@ def test_stages_take_odd_rows_and_empty_tables(spark, sf_dir, name):
     assert FILTERS[name](spark, docs, sf_dir).columns == docs.columns
     assert FILTERS[name](spark, docs, sf_dir).count() <= 7
     assert FILTERS[name](spark, docs.limit(0), sf_dir).count() == 0
+
+
+def test_workers_forget_encoders_for_operators_of_other_kinds():
+    encode = tokens.encoder(tokens.vocabulary("byte_bpe_50k.json"))
+    assert encode.encode("some words") and encode is tokens.encoder(tokens.vocabulary("byte_bpe_50k.json"))
+    tokens.forget()
+    assert tokens.encoder.cache_info().currsize == 0
