@@ -1,13 +1,16 @@
 """Operators over groups of rows: near duplicates, lines, neighbours, conversations, URLs, token totals, components."""
 
 import collections
+import gc
 import hashlib
+import re
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from test_text_operators import DOC, LONG, odd_documents
 
+from cardrisk import session
 from cardrisk.llm import ann, bloom, chat, linededup, queries, simhash, token_counts, urls
 from cardrisk.llm.components import components
 from cardrisk.session import scratch
@@ -169,6 +172,31 @@ def test_long_lines_meet_short_ones_of_the_same_shingles(spark):
     assert linked_share(spark, pairs) == 1
 
 
+def test_line_pairs_are_ruled_out_by_bitmaps_without_python(spark):
+    rule, rng = linededup.LineRule(), np.random.default_rng(23)
+    letters = list("abcdefghijklmnopqrstuvwxyzäß€😀")
+    base = "".join(rng.choice(letters, 300))
+    tails = [base[:cut] + "".join(rng.choice(letters, 300 - cut)) for cut in (280, 240, 200, 0)]
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate([base, *tails])], "doc_id long, text string")
+    lines = linededup._lines(docs, rule).withColumnRenamed("__id__", "i").cache()
+    sides = linededup._bitmaps(lines, rule).join(linededup._signatures(lines, rule), "k1")
+    a, b = lines.filter("i = 0").select(F.col("k1").alias("a"), F.col("line").alias("l")), lines.filter("i > 0").select(F.col("k1").alias("b"), F.col("line").alias("r"), "i")
+    pairs = a.crossJoin(b).join(linededup._side(sides, "a", rule), "a").join(linededup._side(sides, "b", rule), "b")
+    judged = pairs.select("i", linededup._alike(rule).alias("alike"), linededup.similar(rule, F.col("l"), F.col("r")).alias("similar"))
+    assert not re.search("Python|Arrow", judged._jdf.queryExecution().executedPlan().toString())
+    assert [(r.alike, r.similar) for r in judged.orderBy("i").collect()] == [(True, True), (False, False), (False, False), (False, False)]
+    lines.unpersist()
+
+
+def test_written_tables_are_not_held_by_the_driver(spark):
+    before = len(session._written)
+    frame = session.materialise(spark.range(3))
+    assert len(session._written) == before + 1 and frame.count() == 3
+    del frame
+    gc.collect()
+    assert len(session._written) <= before
+
+
 def test_line_dedup_odd_rows(spark):
     docs = odd_documents(spark)
     rows = linededup.dedup(docs)
