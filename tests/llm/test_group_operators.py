@@ -188,6 +188,46 @@ def test_line_pairs_are_ruled_out_by_bitmaps_without_python(spark):
     lines.unpersist()
 
 
+def judged_pairs(spark, pairs: list[tuple[str, str]]):
+    """Each pair's place i, all columns of both sides, and whether the sides are alike and similar."""
+    rule = linededup.LineRule()
+    docs = spark.createDataFrame([(2 * i + j, x) for i, pair in enumerate(pairs) for j, x in enumerate(pair)], "doc_id long, text string")
+    lines = session.materialise(linededup._lines(docs, rule))
+    sides = session.materialise(linededup._bitmaps(lines, rule).join(linededup._signatures(lines, rule), "k1"))
+    ends = [lines.filter(F.col("__id__") % 2 == j).select((F.col("__id__") / 2).cast("int").alias("i"), F.col("k1").alias(end), F.col("line").alias(text))
+            for j, end, text in ((0, "a", "l"), (1, "b", "r"))]
+    known = [linededup._side(sides, end, rule) for end in "ab"]
+    joined = session.materialise(ends[0].join(ends[1], "i").join(known[0], "a").join(known[1], "b"))
+    return joined.withColumn("alike", linededup._alike(rule)).withColumn("similar", linededup.similar(rule, F.col("l"), F.col("r")))
+
+
+def test_long_lines_are_ruled_out_though_their_bitmaps_are_nearly_full(spark):
+    rng, letters = np.random.default_rng(31), list("abcdefghijklmnopqrstuvwxyz ")
+    text = lambda n: "".join(rng.choice(letters, n))
+    pairs = []
+    for size, share in [(1300, 0.9)] * 60 + [(600, 0.9)] * 60 + [(1300, 0.72)] * 30 + [(1000, 0.75)] * 30:
+        base = text(size)
+        pairs.append((base, base[: int(size * share)] + text(size - int(size * share))))
+    found = judged_pairs(spark, pairs).select("i", "alike", "similar").orderBy("i").collect()
+    assert all(r.similar and r.alike for r in found[:120])
+    assert not any(r.similar or r.alike for r in found[120:])
+
+
+def test_a_pair_is_met_in_the_first_band_that_it_shares(spark):
+    rule, rng = linededup.LineRule(), np.random.default_rng(37)
+    pairs = []
+    for _ in range(40):
+        base = "".join(rng.choice(list("abcdefghij"), 120))
+        pairs.append((base, base[:100] + "".join(rng.choice(list("abcdefghij"), 20))))
+    sides = judged_pairs(spark, pairs)
+    packs = linededup._packs(rule)
+    bands = lambda end: linededup._bands(rule, lambda p: F.col(f"{p}_{end}"))
+    shared = sides.select("i", *[f"{p}_{end}" for p in packs for end in "ab"], F.arrays_zip(bands("a").alias("x"), bands("b").alias("y")).alias("z"))
+    each = shared.select("*", F.posexplode("z").alias("band", "pair")).filter("pair.x = pair.y")
+    told = each.groupBy("i").agg(F.count("*").alias("n"), F.count_if(~linededup._shared_before(rule, F.col("band"))).alias("new")).collect()
+    assert len(told) > 30 and max(r.n for r in told) > 3 and all(r.new == 1 for r in told)
+
+
 def test_written_tables_are_not_held_by_the_driver(spark):
     before = len(session._written)
     frame = session.materialise(spark.range(3))
