@@ -1,8 +1,11 @@
 """The model and streaming jobs, end to end over the cleaned test table."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
+from cardrisk import session
 from cardrisk.operators import scoring
 from cardrisk.plans import jobs, tables, views
 from cardrisk.schemas import stream_csv_schema
@@ -69,3 +72,25 @@ def test_serving_model_and_requests(spark, sf_dir, tmp_path):
 def test_rule_score_without_flags_is_missing(spark):
     row = spark.createDataFrame([(None, 0, 0)], "vpn_flag int, is_online int, is_night int")
     assert row.select(scoring.rule_score()).first()[0] is None
+
+
+def test_shuffle_files_go_once_a_table_is_written(spark):
+    """Written twice without a garbage collection of the driver between; waits for the deletion, which is not awaited by Spark."""
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: sum(f.name().startswith("shuffle_") for f in _each(manager.getAllBlocks().iterator()))
+    keyed = spark.range(100_000).withColumn("k", F.col("id") % 5_000)
+    before = shuffled()
+    for _ in range(2):
+        table = session.materialise(keyed.repartition(4, "k").groupBy("k").agg(F.sum("id").alias("n")).repartition(3, "n"))
+        assert len(table.collect()) == 5_000
+    for _ in range(50):
+        if shuffled() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffled() <= before
+    assert spark.conf.get(session.RELEASE, "false") == "false"
+
+
+def _each(iterator):
+    while iterator.hasNext():
+        yield iterator.next()
